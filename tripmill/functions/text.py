@@ -47,7 +47,12 @@ def contains_word(text: Column, word: str, ignore_case: bool = True) -> Column:
 
 
 def equals_ignoring_case(text: Column, other: str) -> Column:
-    return F.lower(text) == other.lower()
+    """``other`` is ASCII; the cheap length test spares most values the conversion.
+
+    Lower case turns a character into one ASCII character or into something that
+    is not ASCII, so values of another length cannot be equal.
+    """
+    return (F.length(text) == len(other)) & (F.lower(text) == other.lower())
 
 
 def any_contains(names: Iterable[str], word: str, ignore_case: bool = True) -> Column:

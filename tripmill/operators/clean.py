@@ -117,13 +117,9 @@ def is_public_ride(rules: TripRules = TripRules()) -> Column:
 
 def tidy_names(df: DataFrame, rules: TripRules = TripRules()) -> DataFrame:
     """Remove the marks from station names, one pattern after the other."""
-    def tidy(name: str) -> Column:
-        text = column(name)
-        for pattern, needle in rules.removals:
-            text = remove_pattern(text, pattern, needle)
-        return text
-
-    return df.withColumns({n: tidy(n) for n in rules.names})
+    for pattern, needle in rules.removals:
+        df = df.withColumns({n: remove_pattern(column(n), pattern, needle) for n in rules.names})
+    return df
 
 
 def long_rides(df: DataFrame, rules: TripRules = TripRules()) -> DataFrame:

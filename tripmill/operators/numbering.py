@@ -49,16 +49,16 @@ def number_rows(
     target = [] if partitions is None else [partitions]
 
     source = df.persist(persist) if persist is not None else df
-    (
+    ranges = (
         source.repartitionByRange(*target, *keys)
         .sortWithinPartitions(*keys)
         .withColumns({_RUN: F.spark_partition_id(), _POSITION: F.monotonically_increasing_id()})
-        .write.parquet(path)
     )
+    ranges.write.parquet(path)
     if persist is not None:
         source.unpersist()
 
-    stored = spark.read.parquet(path)
+    stored = spark.read.schema(ranges.schema).parquet(path)
     # One row per range: bounded by the number of write tasks, whatever the
     # data. That is why one task may add it up and why it may be broadcast.
     runs = stored.groupBy(_RUN).agg(

@@ -2,78 +2,46 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import functions as F
-
-
-def _first(cases: list[tuple[Column, Column | str | None]], otherwise: Column) -> Column:
-    chosen = F
-    for condition, value in cases:
-        chosen = chosen.when(condition, value if isinstance(value, Column) else F.lit(value))
-    return chosen.otherwise(otherwise)
+from pyspark.sql import DataFrame, SparkSession
+
+TRIP = {
+    "ride_id": "event_id",
+    "started_at": """CASE WHEN event_id % 4 = 0
+        THEN CAST(date_trunc('HOUR', ts) AS TIMESTAMP_NTZ) ELSE ts END""",
+    "ended_at": "timestampadd(SECOND, CAST(floor(value * 10) - 60 AS INT), ts)",
+    "start_station_name": """CASE WHEN event_id % 97 = 0 THEN NULL
+        WHEN event_id % 20 < 10 THEN get(array(
+          '  Clark St & Elm St ', 'Green St & Randolph St*', 'Wood St & Taylor St (Temp)',
+          'WEST CHI-WATSON', 'Base - Hubbard Test', 'Lake St (Temp)*', 'Elm St (temp)',
+          '13285', '   ', 'plain lower st'), CAST(event_id % 20 AS INT))
+        ELSE 'Station ' || event_type END""",
+    "start_station_id": """CASE WHEN event_id % 89 = 0 THEN NULL
+        WHEN event_id % 31 = 0 THEN 'DIVVY 001 - Warehouse test station'
+        WHEN event_id % 37 = 0 THEN 'DIVVY 001'
+        WHEN event_id % 41 = 0 THEN 'chargingstx3'
+        ELSE 'S' || user_id END""",
+    "end_station_name": """CASE WHEN event_id % 83 = 0 THEN NULL
+        WHEN event_id % 29 = 0 THEN 'DIVVY CASSETTE REPAIR MOBILE STATION'
+        WHEN event_id % 23 = 0 THEN 'Divvy Cassette Repair Mobile Station'
+        WHEN event_id % 7 = 0 THEN 'Pine * & Oak *(Temp)'
+        WHEN event_id % 19 = 0 THEN 'dock lower'
+        ELSE 'Dock ' || event_type || ' ' END""",
+    "end_station_id": """CASE WHEN event_id % 79 = 0 THEN NULL
+        WHEN event_id % 29 = 0 THEN 'DIVVY CASSETTE REPAIR MOBILE STATION'
+        WHEN event_id % 43 = 0 THEN 'TEST-9'
+        WHEN event_id % 13 = 0 THEN '13285'
+        ELSE 'E' || (user_id % 17) END""",
+    "start_lat": "41.5D + value / 1000",
+    "start_lng": "-87.0D - value / 1000",
+    "end_lat": "CASE WHEN event_id % 73 = 0 THEN NULL ELSE 41.6D + value / 2000 END",
+    "end_lng": "-87.1D - value / 2000",
+    "member_type": "event_type",
+}
 
 
 def derived_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
     events = spark.read.parquet(f"{sf_dir}/events.parquet")
-    e, ts, value = F.col("event_id"), F.col("ts"), F.col("value")
-    kind = F.col("event_type")
-
-    def every(n: int, rest: int = 0) -> Column:
-        return e % n == rest
-
-    start_names = [
-        "  Clark St & Elm St ",
-        "Green St & Randolph St*",
-        "Wood St & Taylor St (Temp)",
-        "WEST CHI-WATSON",
-        "Base - Hubbard Test",
-        "Lake St (Temp)*",
-        "Elm St (temp)",
-        "13285",
-        "   ",
-        "plain lower st",
-    ]
-    return events.select(
-        e.alias("ride_id"),
-        F.when(every(4), F.date_trunc("HOUR", ts).cast("timestamp_ntz"))
-        .otherwise(ts)
-        .alias("started_at"),
-        F.timestamp_add("SECOND", (F.floor(value * 10) - 60).cast("int"), ts).alias("ended_at"),
-        _first(
-            [(every(97), None), *[(every(20, i), n) for i, n in enumerate(start_names)]],
-            F.concat(F.lit("Station "), kind),
-        ).alias("start_station_name"),
-        _first(
-            [
-                (every(89), None),
-                (every(31), "DIVVY 001 - Warehouse test station"),
-                (every(37), "DIVVY 001"),
-                (every(41), "chargingstx3"),
-            ],
-            F.concat(F.lit("S"), F.col("user_id")),
-        ).alias("start_station_id"),
-        _first(
-            [
-                (every(83), None),
-                (every(29), "DIVVY CASSETTE REPAIR MOBILE STATION"),
-                (every(23), "Divvy Cassette Repair Mobile Station"),
-                (every(7), "Pine * & Oak *(Temp)"),
-                (every(19), "dock lower"),
-            ],
-            F.concat(F.lit("Dock "), kind, F.lit(" ")),
-        ).alias("end_station_name"),
-        _first(
-            [
-                (every(79), None),
-                (every(29), "DIVVY CASSETTE REPAIR MOBILE STATION"),
-                (every(43), "TEST-9"),
-                (every(13), "13285"),
-            ],
-            F.concat(F.lit("E"), F.col("user_id") % 17),
-        ).alias("end_station_id"),
-        (41.5 + value / 1000).alias("start_lat"),
-        (-87.0 - value / 1000).alias("start_lng"),
-        F.when(every(73), F.lit(None)).otherwise(41.6 + value / 2000).alias("end_lat"),
-        (-87.1 - value / 2000).alias("end_lng"),
-        kind.alias("member_type"),
-    )
+    trip = ", ".join(f"{expression} AS {name}" for name, expression in TRIP.items())
+    # Selected directly, these expressions would be copied into every later
+    # filter that names a column, and be evaluated once per mention.
+    return events.selectExpr(f"inline(array(struct({trip})))")
