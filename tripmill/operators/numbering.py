@@ -14,11 +14,30 @@ from tripmill.functions.text import column
 from tripmill.functions.time import time_key
 from tripmill.session import new_folder
 
+# Scanned bytes per range, several times as many once decoded, and the most
+# ranges a shuffle of many input tasks can carry.
+BYTES_PER_RANGE = 64 << 20
+MOST_RANGES = 50_000
+
 _RUN = "__run"
 _POSITION = "__position"
 _SHIFT = "__shift"
 
 
+def ranges_for(df: DataFrame) -> int | None:
+    """How many ranges suit the size of ``df``; None to leave it to the session.
+
+    The session's number of shuffle partitions, which adaptive execution merges
+    where they are small, is right until the data outgrows it.
+    """
+    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    needed = size // BYTES_PER_RANGE
+    unknown = size >= 1 << 62
+    if unknown or needed <= int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")):
+        return None
+    return min(needed, MOST_RANGES)
+
+
 def number_rows(
     df: DataFrame,
     order_by: Sequence[str],
@@ -46,6 +65,7 @@ def number_rows(
     spark = df.sparkSession
     path = path or new_folder(spark, "numbered")
     keys = [column(c) for c in order_by]
+    partitions = partitions or ranges_for(df)
     target = [] if partitions is None else [partitions]
 
     source = df.persist(persist) if persist is not None else df
@@ -59,8 +79,8 @@ def number_rows(
         source.unpersist()
 
     stored = spark.read.schema(ranges.schema).parquet(path)
-    # One row per range: bounded by the number of write tasks, whatever the
-    # data. That is why one task may add it up and why it may be broadcast.
+    # One row per range, so never more than there are partitions, whatever the
+    # data: one task can add it up, and it can be broadcast.
     runs = stored.groupBy(_RUN).agg(
         F.count("*").alias("rows"), F.min(_POSITION).alias("first")
     )

@@ -45,14 +45,14 @@ TEXT_ITEMS = StorePlan(as_text=True)
 
 
 def keyed_trips(
-    trips: DataFrame, plan: StorePlan = PAIR_KEYED, path: str | None = None
+    trips: DataFrame, plan: StorePlan = PAIR_KEYED, numbered_path: str | None = None
 ) -> DataFrame:
     """Cleaned trips with row number and keys. Runs the numbering job."""
     numbered = number_rows(
         clean_trips(trips, plan.rules),
         (plan.rules.start, plan.tie_break),
         plan.number,
-        path=path,
+        path=numbered_path,
         persist=plan.persist,
     )
     return with_trip_keys(
@@ -71,11 +71,11 @@ def load_store(
     trips: DataFrame,
     sink: str,
     plan: StorePlan = PAIR_KEYED,
-    path: str | None = None,
+    numbered_path: str | None = None,
     **sink_options: str | int | float,
 ) -> None:
     """Clean, number, key and write trips to a registered keyed sink."""
-    items = store_items(keyed_trips(trips, plan, path), plan)
+    items = store_items(keyed_trips(trips, plan, numbered_path), plan)
     number = None if plan.number in plan.leave_out else plan.number
     write_keyed(items, sink, plan.store_keys, plan.batch_rows, number, **sink_options)
 

@@ -103,9 +103,8 @@ def store_text(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _by_month(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _table(spark, sf_dir, "orders").withColumn(
-        "month", F.date_format("o_orderdate", "MM")
-    )
+    month = F.lpad(F.month("o_orderdate").cast("string"), 2, "0")
+    return _table(spark, sf_dir, "orders").withColumn("month", month)
 
 
 def union_months(spark: SparkSession, sf_dir: str) -> DataFrame:
