@@ -7,7 +7,7 @@ import pytest
 
 import __spark_entry__ as driver
 
-SMALL, MIDDLE = "/root/testdata/sf0.001", "/root/testdata/sf0.01"
+MIDDLE = "/root/testdata/sf0.01"
 
 
 def canonical(frame: pd.DataFrame) -> pd.DataFrame:
@@ -19,11 +19,10 @@ def canonical(frame: pd.DataFrame) -> pd.DataFrame:
     return frame.loc[order].reset_index(drop=True)
 
 
-@pytest.mark.parametrize("sf_dir", [SMALL, MIDDLE])
 @pytest.mark.parametrize("name", sorted(driver.queries()))
-def test_query_equals_sql(spark, duck, name, sf_dir):
-    got = canonical(driver.queries()[name](spark, sf_dir).toPandas())
-    want = canonical(duck(sf_dir).execute(driver.oracle_sql()[name]).df())
+def test_query_equals_sql(spark, duck, name):
+    got = canonical(driver.queries()[name](spark, MIDDLE).toPandas())
+    want = canonical(duck(MIDDLE).execute(driver.oracle_sql()[name]).df())
     pd.testing.assert_frame_equal(got, want, check_dtype=False, check_exact=True)
 
 

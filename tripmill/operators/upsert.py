@@ -34,7 +34,7 @@ def latest_by_key(df: DataFrame, keys: Sequence[str], order_by: Sequence[str]) -
 def upsert(
     target: DataFrame, batch: DataFrame, keys: Sequence[str], order_by: Sequence[str]
 ) -> DataFrame:
-    """``target``, one row per key, after writing ``batch`` over it.
+    """``target``, one row per key, after writing ``batch`` over it; no key is null.
 
     Rows of the target whose key is not in the batch pass through: only they and
     the batch keys meet in a join, whose strategy Spark picks by their size.

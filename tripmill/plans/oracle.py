@@ -196,7 +196,7 @@ ORACLE_SQL: dict[str, str] = {
         WHERE start_station_id = 'DIVVY 001 - Warehouse test station'""",
     "keyed_trips": f"WITH {KEYED} SELECT * FROM keyed",
     "keyed_by_id": f"""WITH {KEYED}
-        SELECT trip_id AS id, started_at_timestamp, row_number, ride_id FROM keyed""",
+        SELECT * EXCLUDE (trip_id), trip_id AS id FROM keyed""",
     "batches_300": f"""WITH {KEYED}
         SELECT CAST((row_number - 1) // 300 + 1 AS BIGINT) AS batch, count(*) AS n_rows,
           min(row_number) AS first_row, max(row_number) AS last_row
@@ -225,4 +225,5 @@ ORACLE_SQL: dict[str, str] = {
         ) WHERE place = 1""",
     "keyed_sink_read_back": LATEST_EVENTS,
     "store_trips_read_back": f"WITH {STORED} SELECT * FROM stored",
+    "keyed_sink_progress": "SELECT count(*) AS n_rows FROM events",
 }

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-import uuid
+import zlib
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -19,7 +19,13 @@ from tripmill.plans import exploration as ex
 from tripmill.plans.derived_trips import derived_trips
 from tripmill.plans.preparation import ID_KEYED, TEXT_ITEMS, keyed_trips, store_items
 from tripmill.session import new_folder
-from tripmill.sinks.file_store import SINK_NAME, next_write, read_store, register_file_store
+from tripmill.sinks.file_store import (
+    SINK_NAME,
+    next_write,
+    read_store,
+    register_file_store,
+    write_report,
+)
 from tripmill.sinks.keyed import write_keyed
 from tripmill.sources.files import parquet_if_absent, read_csv, union_by_position
 from tripmill.sources.tables import query_view, read_table
@@ -89,8 +95,7 @@ def numbered_row_range(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def keyed_by_id(spark: SparkSession, sf_dir: str) -> DataFrame:
-    keyed = keyed_trips(derived_trips(spark, sf_dir), ID_KEYED)
-    return keyed.select("id", "started_at_timestamp", "row_number", "ride_id")
+    return keyed_trips(derived_trips(spark, sf_dir), ID_KEYED)
 
 
 def batches_300(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -132,18 +137,22 @@ def parquet_copy(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def table_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A catalog table laid over the given files, with a bookkeeping column."""
-    name = f"orders_{uuid.uuid4().hex}"
+    """An external catalog table over the given files, with a bookkeeping column."""
     path = f"{sf_dir}/orders.parquet"
-    schema = spark.read.parquet(path).schema.add(RESCUED_COLUMN, "string")
-    spark.catalog.createTable(name, path, source="parquet", schema=schema)
+    name = f"orders_{zlib.crc32(path.encode()):08x}"
+    if not spark.catalog.tableExists(name):
+        schema = spark.read.parquet(path).schema.add(RESCUED_COLUMN, "string")
+        spark.catalog.createTable(name, path, source="parquet", schema=schema)
     return read_table(spark, name)
 
 
 def view_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    view = f"orders_{uuid.uuid4().hex}"
-    sql = f"SELECT o_orderkey, o_orderstatus, o_totalprice FROM {view} WHERE o_orderkey IS NOT NULL"
-    return query_view(_table(spark, sf_dir, "orders"), view, sql)
+    return query_view(
+        _table(spark, sf_dir, "orders"),
+        "orders_view",
+        """SELECT o_orderkey, o_orderstatus, o_totalprice
+           FROM orders_view WHERE o_orderkey IS NOT NULL""",
+    )
 
 
 def _keyed_events(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -184,6 +193,15 @@ def store_trips_read_back(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_store(spark, folder, list(plan.store_keys))
 
 
+def keyed_sink_progress(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the writers report: the rows that all of them put."""
+    folder, number = new_folder(spark, "store"), next_write()
+    register_file_store(spark)
+    events = _table(spark, sf_dir, "events").select("event_id", "event_type", "value")
+    write_keyed(events, SINK_NAME, ["event_id"], path=folder, writeNumber=number)
+    return spark.createDataFrame([(write_report(folder, number)["rows"],)], "n_rows bigint")
+
+
 QUERIES: dict[str, Query] = {
     "trips_source": derived_trips,
     "whitespace_rows": _on_trips(audit.rows_with_outer_blanks),
@@ -227,4 +245,5 @@ QUERIES: dict[str, Query] = {
     "upsert_two_writes": upsert_two_writes,
     "keyed_sink_read_back": keyed_sink_read_back,
     "store_trips_read_back": store_trips_read_back,
+    "keyed_sink_progress": keyed_sink_progress,
 }

@@ -31,7 +31,7 @@ class FileStore:
     def __init__(self, options: dict[str, str]):
         uri = options["path"]
         if "://" in uri:
-            self.files, root = fs.FileSystem.from_uri(uri)
+            self.files, root = fs.FileSystem.from_uri(uri.replace("s3a://", "s3://", 1))
         else:
             self.files, root = fs.LocalFileSystem(), uri.removeprefix("file:")
         # one folder per write; as a number it also orders the writes
