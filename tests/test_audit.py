@@ -13,6 +13,7 @@ from tripmill.operators.audit import counts_where, find_rows
 from tripmill.operators.clean import clean_trips, long_rides
 from tripmill.plans import exploration as ex
 from tripmill.plans.derived_trips import derived_trips
+from tripmill.session import new_folder
 
 MIDDLE = "/root/testdata/sf0.01"
 
@@ -29,8 +30,8 @@ def rides(spark):
         (ex.upper_end, ("start_station_name",), False),
         (ex.lower_start, ("start_station_name",), False),
         (ex.lower_end, ("end_station_name",), False),
-        (ex.operator_start_ids, ("start_station_name",), False),
-        (ex.operator_ends, ("end_station_name",), False),
+        (ex.start_ids_with, ("start_station_name",), False),
+        (ex.ends_with_word, ("end_station_name",), False),
         (ex.test_stations, ("end_station_name",), True),
         (ex.temporary_stations, ("start_station_name",), False),
     ],
@@ -39,7 +40,7 @@ def test_audits_are_ordered_and_limits_take_the_first(rides, find, order, descen
     rows = find(rides).collect()
     keys = [tuple(r[c] for c in order) for r in rows]
     assert keys == sorted(keys, reverse=descending)
-    assert find(rides, 6).collect() == rows[:6]
+    assert find(rides, limit=6).collect() == rows[:6]
 
 
 def test_short_rides_come_shortest_first(spark):
@@ -68,6 +69,13 @@ def test_a_full_sort_can_split_a_name_with_a_third_of_the_rows(spark):
     assert max(r["count"] for r in sizes) < 2 * 90_000 / 8
 
 
+def test_exploration_from_a_copy(spark):
+    trips, folder = derived_trips(spark, MIDDLE), new_folder(spark, "rides")
+    direct, copied = ex.explore(trips), ex.explore(trips, copy=folder)
+    for name in ("all-upper-case end names", "test stations", "temporary stations"):
+        assert direct[name].collect() == copied[name].collect()
+
+
 def test_counts_where_ignores_unknown(spark):
     df = spark.createDataFrame([(1,), (None,), (3,)], "a int")
     row = counts_where(df, {"big": F.col("a") > 2, "all": F.lit(True)}).first()

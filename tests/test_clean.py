@@ -199,3 +199,15 @@ def test_exploration_covers_every_step(spark):
     assert max(counts.values()) <= 6
     left = report["trips left after each step"].first().asDict()
     assert left == {"trips": 1000, "complete": 941, "short": 152, "long": 789, "cleaned": 528}
+
+
+def test_zoneless_trips_do_not_depend_on_the_session_zone(spark):
+    def rows():
+        return clean_trips(derived_trips(spark, "/root/testdata/sf0.001")).toPandas()
+
+    before, utc = spark.conf.get("spark.sql.session.timeZone"), rows()
+    spark.conf.set("spark.sql.session.timeZone", "Asia/Kolkata")
+    try:
+        assert rows().equals(utc)
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", before)

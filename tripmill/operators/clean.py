@@ -34,8 +34,12 @@ class TripRules:
 
     start: str = "started_at"
     end: str = "ended_at"
-    names: tuple[str, ...] = ("start_station_name", "end_station_name")
-    ids: tuple[str, ...] = ("start_station_id", "end_station_id")
+    start_name: str = "start_station_name"
+    end_name: str = "end_station_name"
+    start_id: str = "start_station_id"
+    end_id: str = "end_station_id"
+    # unique; settles the order of trips that are equal otherwise
+    tie_break: str = "ride_id"
     ride_length: str = "ride_length"
     min_seconds: int = MIN_RIDE_SECONDS
     blocked_words: tuple[str, ...] = (TEST_WORD,)
@@ -46,9 +50,13 @@ class TripRules:
         (TEMP_PATTERN, "(Temp)"),
     )
 
+    @property
+    def names(self) -> tuple[str, str]:
+        return (self.start_name, self.end_name)
+
     @property
     def stations(self) -> tuple[str, ...]:
-        return (*self.names, *self.ids)
+        return (*self.names, self.start_id, self.end_id)
 
 
 def trim_text(df: DataFrame) -> DataFrame:

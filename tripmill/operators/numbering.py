@@ -89,7 +89,7 @@ def number_rows(
         _RUN, (F.coalesce(lower, F.lit(0)) + 1 - F.col("first")).alias(_SHIFT)
     )
     return stored.join(F.broadcast(shifts), _RUN).select(
-        *[column(c) for c in df.columns], (F.col(_POSITION) + F.col(_SHIFT)).alias(name)
+        *[column(c) for c in df.columns if c != name], (F.col(_POSITION) + F.col(_SHIFT)).alias(name)
     )
 
 

@@ -1,8 +1,9 @@
-"""The exploration of a trip table: every audit, check and count, by name."""
+"""The exploration of a trip table: every audit, check and count, by name.
 
-from __future__ import annotations
+Audits end their order with the unique column of the rules, see ``find_rows``.
+"""
 
-from collections.abc import Callable
+from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -25,131 +26,166 @@ from tripmill.operators.clean import (
     trim_text,
     with_ride_length,
 )
+from tripmill.sources.files import parquet_if_absent
 
-START_NAME, END_NAME = "start_station_name", "end_station_name"
-START_ID, END_ID = "start_station_id", "end_station_id"
-STATION_COLUMNS = (START_ID, START_NAME, END_ID, END_NAME)
-TIE_BREAK = "ride_id"
-
-Audit = Callable[[DataFrame], DataFrame]
+DEFAULT = TripRules()
 
 
-def short_rides(trips: DataFrame, rules: TripRules = TripRules(), limit: int | None = None):
+def short_rides(
+    trips: DataFrame, limit: int | None = None, rules: TripRules = DEFAULT
+) -> DataFrame:
     """Complete rides below the minimum length, shortest first."""
     rides = with_ride_length(trim_and_complete(trips), rules)
-    return find_rows(
-        rides,
-        column(rules.ride_length) < rules.min_seconds,
-        (rules.ride_length, TIE_BREAK),
-        limit=limit,
-    )
+    too_short = column(rules.ride_length) < rules.min_seconds
+    return find_rows(rides, too_short, (rules.ride_length, rules.tie_break), limit=limit)
 
 
-def upper_start(rides: DataFrame, limit: int | None = None) -> DataFrame:
-    return find_rows(rides, is_all_upper(column(START_NAME)), (START_NAME, TIE_BREAK), limit=limit)
+def upper_start(
+    rides: DataFrame, limit: int | None = None, rules: TripRules = DEFAULT
+) -> DataFrame:
+    order = (rules.start_name, rules.tie_break)
+    return find_rows(rides, is_all_upper(column(rules.start_name)), order, limit=limit)
 
 
-def upper_end(rides: DataFrame, limit: int | None = None) -> DataFrame:
+def upper_end(
+    rides: DataFrame, limit: int | None = None, rules: TripRules = DEFAULT
+) -> DataFrame:
     """Ordered by the start name."""
-    return find_rows(rides, is_all_upper(column(END_NAME)), (START_NAME, TIE_BREAK), limit=limit)
+    order = (rules.start_name, rules.tie_break)
+    return find_rows(rides, is_all_upper(column(rules.end_name)), order, limit=limit)
 
 
-def lower_start(rides: DataFrame, limit: int | None = None) -> DataFrame:
-    return find_rows(rides, is_all_lower(column(START_NAME)), (START_NAME, TIE_BREAK), limit=limit)
+def lower_start(
+    rides: DataFrame, limit: int | None = None, rules: TripRules = DEFAULT
+) -> DataFrame:
+    order = (rules.start_name, rules.tie_break)
+    return find_rows(rides, is_all_lower(column(rules.start_name)), order, limit=limit)
 
 
-def lower_end(rides: DataFrame, limit: int | None = None) -> DataFrame:
-    return find_rows(rides, is_all_lower(column(END_NAME)), (END_NAME, TIE_BREAK), limit=limit)
+def lower_end(
+    rides: DataFrame, limit: int | None = None, rules: TripRules = DEFAULT
+) -> DataFrame:
+    order = (rules.end_name, rules.tie_break)
+    return find_rows(rides, is_all_lower(column(rules.end_name)), order, limit=limit)
 
 
-def operator_start_ids(rides: DataFrame, limit: int | None = None) -> DataFrame:
+def start_ids_with(
+    rides: DataFrame, word: str = OPERATOR_WORD, limit: int | None = None, rules: TripRules = DEFAULT
+) -> DataFrame:
+    """Start ids that hold a word, in this letter case."""
     return find_rows(
         rides,
-        any_contains([START_ID], OPERATOR_WORD, ignore_case=False),
-        (START_NAME, TIE_BREAK),
-        (START_ID, START_NAME),
+        any_contains([rules.start_id], word, ignore_case=False),
+        (rules.start_name, rules.tie_break),
+        (rules.start_id, rules.start_name),
         limit,
     )
 
 
-def operator_ends(rides: DataFrame, limit: int | None = None) -> DataFrame:
+def ends_with_word(
+    rides: DataFrame, word: str = OPERATOR_WORD, limit: int | None = None, rules: TripRules = DEFAULT
+) -> DataFrame:
+    """End ids or names that hold a word, in this letter case."""
     return find_rows(
         rides,
-        any_contains([END_ID, END_NAME], OPERATOR_WORD, ignore_case=False),
-        (END_NAME, TIE_BREAK),
-        (END_ID, END_NAME),
+        any_contains([rules.end_id, rules.end_name], word, ignore_case=False),
+        (rules.end_name, rules.tie_break),
+        (rules.end_id, rules.end_name),
         limit,
     )
 
 
-def test_stations(rides: DataFrame, limit: int | None = None) -> DataFrame:
-    return find_rows(
-        rides,
-        any_contains(STATION_COLUMNS, TEST_WORD),
-        (F.desc(END_NAME), TIE_BREAK),
-        STATION_COLUMNS,
-        limit,
-    )
+def stations_with(
+    rides: DataFrame,
+    word: str,
+    order_by: tuple = (),
+    limit: int | None = None,
+    rules: TripRules = DEFAULT,
+) -> DataFrame:
+    """Rides with a word, in any letter case, in one of their four station columns."""
+    columns = (rules.start_id, rules.start_name, rules.end_id, rules.end_name)
+    return find_rows(rides, any_contains(columns, word), order_by, columns, limit)
 
 
-def temporary_stations(rides: DataFrame, limit: int | None = None) -> DataFrame:
-    return find_rows(
-        rides,
-        any_contains(STATION_COLUMNS, TEMP_WORD),
-        (START_NAME, TIE_BREAK),
-        STATION_COLUMNS,
-        limit,
-    )
+def test_stations(
+    rides: DataFrame, limit: int | None = None, rules: TripRules = DEFAULT
+) -> DataFrame:
+    order = (F.desc(rules.end_name), rules.tie_break)
+    return stations_with(rides, TEST_WORD, order, limit, rules)
 
 
-def starred_stations(rides: DataFrame, limit: int | None = None) -> DataFrame:
-    return find_rows(
-        rides, any_contains(STATION_COLUMNS, "*"), (), STATION_COLUMNS, limit
-    )
+def temporary_stations(
+    rides: DataFrame, limit: int | None = None, rules: TripRules = DEFAULT
+) -> DataFrame:
+    order = (rules.start_name, rules.tie_break)
+    return stations_with(rides, TEMP_WORD, order, limit, rules)
+
+
+def starred_stations(
+    rides: DataFrame, limit: int | None = None, rules: TripRules = DEFAULT
+) -> DataFrame:
+    """In no order."""
+    return stations_with(rides, "*", (), limit, rules)
 
 
-def start_lookup(trips: DataFrame, station_id: str) -> DataFrame:
-    return find_rows(trips, column(START_ID) == station_id, (), (START_ID, START_NAME))
+def start_lookup(trips: DataFrame, station_id: str, rules: TripRules = DEFAULT) -> DataFrame:
+    columns = (rules.start_id, rules.start_name)
+    return find_rows(trips, column(rules.start_id) == station_id, (), columns)
 
 
-def end_lookup(trips: DataFrame, station_id: str) -> DataFrame:
-    return find_rows(trips, column(END_ID) == station_id, (), (END_ID, END_NAME))
+def end_lookup(trips: DataFrame, station_id: str, rules: TripRules = DEFAULT) -> DataFrame:
+    columns = (rules.end_id, rules.end_name)
+    return find_rows(trips, column(rules.end_id) == station_id, (), columns)
 
 
-def step_counts(trips: DataFrame, rules: TripRules = TripRules()) -> DataFrame:
+def step_counts(trips: DataFrame, rules: TripRules = DEFAULT) -> DataFrame:
     """One row: how many trips are left after each cleaning step, in one pass."""
     rides = with_ride_length(trim_text(trips), rules)
     complete = is_complete(rides)
-    long = complete & (column(rules.ride_length) >= rules.min_seconds)
+    length = column(rules.ride_length)
     return counts_where(
         rides,
         {
             "trips": F.lit(True),
             "complete": complete,
-            "short": complete & (column(rules.ride_length) < rules.min_seconds),
-            "long": long,
-            "cleaned": long & is_public_ride(rules),
+            "short": complete & (length < rules.min_seconds),
+            "long": complete & (length >= rules.min_seconds),
+            "cleaned": complete & (length >= rules.min_seconds) & is_public_ride(rules),
         },
     )
 
 
-def explore(trips: DataFrame, rows: int = 6) -> dict[str, DataFrame]:
-    """Every step of the exploration, each cut to its first rows for display."""
-    rides = long_rides(trips)
+def explore(
+    trips: DataFrame, rows: int = 6, copy: str | None = None, rules: TripRules = DEFAULT
+) -> dict[str, DataFrame]:
+    """Every step of the exploration, each cut to its first rows for display.
+
+    With ``copy``, the rides are written there as Parquet, if they are not yet,
+    and the audits read the few columns they need from it instead of cleaning
+    the trips again one by one.
+    """
+    def cleaned_rides() -> DataFrame:
+        return long_rides(trips, rules)
+
+    if copy is None:
+        rides = cleaned_rides()
+    else:
+        rides = parquet_if_absent(trips.sparkSession, copy, cleaned_rides)
+    trimmed = trim_text(trips)
     return {
         "rows with outer blanks": rows_with_outer_blanks(trips).limit(rows),
-        "rows with outer blanks after the trim": rows_with_outer_blanks(trim_text(trips)).limit(rows),
-        "nulls per column": null_counts(trim_text(trips)),
-        "short rides": short_rides(trips, limit=rows),
-        "all-upper-case start names": upper_start(rides, rows),
-        "start ids of the operator": operator_start_ids(rides, rows),
-        "all-upper-case end names": upper_end(rides, rows),
-        "end stations of the operator": operator_ends(rides, rows),
-        "all-lower-case start names": lower_start(rides, rows),
-        "all-lower-case end names": lower_end(rides, rows),
-        "test stations": test_stations(rides, rows),
-        "temporary stations": temporary_stations(rides, rows),
-        "starred stations": starred_stations(rides, rows),
-        "trips left after each step": step_counts(trips),
-        "cleaned trips": clean_trips(trips).limit(rows),
+        "rows with outer blanks after the trim": rows_with_outer_blanks(trimmed).limit(rows),
+        "nulls per column": null_counts(trimmed),
+        "short rides": short_rides(trips, rows, rules),
+        "all-upper-case start names": upper_start(rides, rows, rules),
+        "start ids of the operator": start_ids_with(rides, OPERATOR_WORD, rows, rules),
+        "all-upper-case end names": upper_end(rides, rows, rules),
+        "end stations of the operator": ends_with_word(rides, OPERATOR_WORD, rows, rules),
+        "all-lower-case start names": lower_start(rides, rows, rules),
+        "all-lower-case end names": lower_end(rides, rows, rules),
+        "test stations": test_stations(rides, rows, rules),
+        "temporary stations": temporary_stations(rides, rows, rules),
+        "starred stations": starred_stations(rides, rows, rules),
+        "trips left after each step": step_counts(trips, rules),
+        "cleaned trips": clean_trips(trips, rules).limit(rows),
     }

@@ -22,8 +22,6 @@ class StorePlan:
     """How trips are numbered, keyed and written."""
 
     rules: TripRules = field(default_factory=TripRules)
-    # unique column that orders trips with the same start
-    tie_break: str = "ride_id"
     number: str = "row_number"
     key: str = "trip_id"
     sort_key: str = "started_at_timestamp"
@@ -50,7 +48,7 @@ def keyed_trips(
     """Cleaned trips with row number and keys. Runs the numbering job."""
     numbered = number_rows(
         clean_trips(trips, plan.rules),
-        (plan.rules.start, plan.tie_break),
+        (plan.rules.start, plan.rules.tie_break),
         plan.number,
         path=numbered_path,
         persist=plan.persist,

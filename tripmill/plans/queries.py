@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tripmill.fixed_values import MONTHS, REPAIR_STATION, RESCUED_COLUMN, TEST_WORD
-from tripmill.functions.text import contains_word
+from tripmill.functions.text import any_contains, contains_word
 from tripmill.operators import audit
 from tripmill.operators.clean import clean_trips, long_rides, trim_and_complete, trim_text
 from tripmill.operators.numbering import number_rows, row_range
@@ -66,13 +66,14 @@ def _shortest_rides(trips: DataFrame) -> DataFrame:
 
 
 def _test_stations_first(rides: DataFrame) -> DataFrame:
-    found = audit.find_rows(
+    columns = ("start_station_id", "start_station_name", "end_station_id", "end_station_name")
+    return audit.find_rows(
         rides,
-        ex.any_contains(ex.STATION_COLUMNS, TEST_WORD),
-        (F.desc(ex.END_NAME), ex.TIE_BREAK),
-        limit=10,
+        any_contains(columns, TEST_WORD),
+        (F.desc("end_station_name"), "ride_id"),
+        ("ride_id", *columns),
+        10,
     )
-    return found.select(ex.TIE_BREAK, *ex.STATION_COLUMNS)
 
 
 def word_test_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -216,8 +217,8 @@ QUERIES: dict[str, Query] = {
     "upper_end": _on_rides(ex.upper_end),
     "lower_start": _on_rides(ex.lower_start),
     "lower_end": _on_rides(ex.lower_end),
-    "substr_start_id": _on_rides(ex.operator_start_ids),
-    "substr_end": _on_rides(ex.operator_ends),
+    "substr_start_id": _on_rides(ex.start_ids_with),
+    "substr_end": _on_rides(ex.ends_with_word),
     "word_test": _on_rides(ex.test_stations),
     "word_test_top10": _on_rides(_test_stations_first),
     "word_temp": _on_rides(ex.temporary_stations),

@@ -70,8 +70,7 @@ def cut_batches(
     held_group = None
 
     def release() -> pa.RecordBatch:
-        table = pa.Table.from_batches(held).combine_chunks()
-        return table.to_batches()[0]
+        return held[0] if len(held) == 1 else pa.concat_batches(held)
 
     for arrived in stream:
         rows = arrived.num_rows
