@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 from functools import reduce
-from operator import and_, or_
+from operator import or_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -15,13 +15,13 @@ def text_columns(df: DataFrame) -> list[str]:
     return [f.name for f in df.schema.fields if isinstance(f.dataType, StringType)]
 
 
-def column(name: str) -> Column:
-    """A top-level column by its exact name, dots included."""
-    return F.col("`" + name.replace("`", "``") + "`")
+def quoted(name: str) -> str:
+    return "`" + name.replace("`", "``") + "`"
 
 
-def all_of(terms: Iterable[Column]) -> Column:
-    return reduce(and_, terms, F.lit(True))
+def column(name: str) -> Column:
+    """A top-level column by its exact name, dots included."""
+    return F.col(quoted(name))
 
 
 def any_of(terms: Iterable[Column]) -> Column:

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tripmill.fixed_values import BLANK_FLAG_SUFFIX
-from tripmill.functions.text import any_of, column, has_outer_blanks, text_columns
+from tripmill.functions.text import any_of, column, has_outer_blanks, quoted, text_columns
 
 
 def with_blank_flags(df: DataFrame, suffix: str = BLANK_FLAG_SUFFIX) -> DataFrame:
@@ -25,7 +25,9 @@ def rows_with_outer_blanks(df: DataFrame, suffix: str = BLANK_FLAG_SUFFIX) -> Da
 
 def null_counts(df: DataFrame) -> DataFrame:
     """One row: the number of nulls in each column, all counted in one pass."""
-    return df.agg(*[F.count_if(column(c).isNull()).alias(c) for c in df.columns])
+    return df.selectExpr(
+        *[f"count_if({quoted(c)} IS NULL) AS {quoted(c)}" for c in df.columns]
+    )
 
 
 def counts_where(df: DataFrame, conditions: dict[str, Column]) -> DataFrame:

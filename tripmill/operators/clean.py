@@ -16,12 +16,12 @@ from tripmill.fixed_values import (
     TEST_WORD,
 )
 from tripmill.functions.text import (
-    all_of,
     any_contains,
     any_of,
     column,
     equals_ignoring_case,
     is_all_upper,
+    quoted,
     remove_pattern,
     text_columns,
 )
@@ -62,20 +62,19 @@ class TripRules:
 def trim_text(df: DataFrame) -> DataFrame:
     """Trim blanks (tabs stay) off every text column; order and names are kept."""
     text = set(text_columns(df))
-    return df.select(
-        *[F.trim(column(c)).alias(c) if c in text else column(c) for c in df.columns]
+    return df.selectExpr(
+        *[f"trim({quoted(c)}) AS {quoted(c)}" if c in text else quoted(c) for c in df.columns]
     )
 
 
 def is_complete(df: DataFrame) -> Column:
     """No column is null or NaN."""
-    def present(field) -> Column:
-        value = column(field.name)
-        if isinstance(field.dataType, (FloatType, DoubleType)):
-            return value.isNotNull() & ~F.isnan(value)
-        return value.isNotNull()
-
-    return all_of(present(f) for f in df.schema.fields)
+    terms = [f"{quoted(f.name)} IS NOT NULL" for f in df.schema.fields] + [
+        f"NOT isnan({quoted(f.name)})"
+        for f in df.schema.fields
+        if isinstance(f.dataType, (FloatType, DoubleType))
+    ]
+    return F.expr(" AND ".join(terms))
 
 
 def drop_incomplete(df: DataFrame) -> DataFrame:
