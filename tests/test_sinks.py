@@ -195,27 +195,60 @@ def test_rate_limit_slows_the_write(spark, store):
     assert time.time() - began >= 0.6
 
 
-def test_executors_need_no_copy_of_the_package(tmp_path):
-    """Another working directory, so that the workers cannot import it."""
-    script = tmp_path / "job.py"
+def run_job(folder, body):
+    """Run a job of its own, in a directory from which workers cannot import the package."""
+    script = folder / "job.py"
     script.write_text(
         f"""
 import sys
 sys.path.insert(0, {str(Path(__file__).resolve().parents[1])!r})
 from tripmill.session import build_session
 from tripmill.sinks.file_store import *
-from tripmill.sinks.keyed import write_keyed
-spark = build_session("job", "local[2]", {{"spark.ui.enabled": "false"}})
-register_file_store(spark)
-write_keyed(spark.range(10), SINK_NAME, ["id"], path={str(tmp_path / "store")!r}, writeNumber=1)
-print("ROWS", read_store(spark, {str(tmp_path / "store")!r}, ["id"]).count())
+from tripmill.sinks.keyed import register_keyed_sink, write_keyed
+from pyspark import TaskContext
+spark = build_session("job", "local[2,3]", {{"spark.ui.enabled": "false"}})
+path = {str(folder / "store")!r}
+{body}
 """
     )
     env = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
     done = subprocess.run(
-        [sys.executable, str(script)], cwd=tmp_path, env=env, capture_output=True, text=True, timeout=300
+        [sys.executable, str(script)],
+        cwd=folder, env=env, capture_output=True, text=True, timeout=300,
     )
-    assert "ROWS 10" in done.stdout, done.stderr[-2000:]
+    assert done.returncode == 0, done.stderr[-2000:]
+    return done.stdout
+
+
+def test_executors_need_no_copy_of_the_package(tmp_path):
+    body = """
+register_file_store(spark)
+write_keyed(spark.range(10), SINK_NAME, ["id"], path=path, writeNumber=1)
+print("ROWS", read_store(spark, path, ["id"]).count())
+"""
+    assert "ROWS 10" in run_job(tmp_path, body)
+
+
+def test_a_task_lost_halfway_is_run_again(tmp_path):
+    """Every first attempt dies after some of its batches are put."""
+    body = """
+class Lost(FileStore):
+    def put(self, items):
+        super().put(items)
+        self._flush()
+        if TaskContext.get().attemptNumber() == 0 and items.column("id")[0].as_py() % 1000 > 400:
+            raise RuntimeError("executor lost")
+
+register_keyed_sink(spark, "lost", Lost)
+df = spark.range(2000, numPartitions=2)
+write_keyed(df, "lost", ["id"], path=path, writeNumber=1)
+stored = spark.read.parquet(path)
+print("FILES", len(stored.inputFiles()), "ROWS", stored.count(), "SUM", stored.agg({"id": "sum"}).first()[0])
+print("REPORT", write_report(path, 1)["rows"])
+"""
+    out = run_job(tmp_path, body)
+    assert f"FILES 2 ROWS 2000 SUM {sum(range(2000))}" in out
+    assert "REPORT 2000" in out
 
 
 def test_latest_by_key_and_its_plan(spark, capsys):

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from types import SimpleNamespace
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -90,3 +92,18 @@ def test_folders_are_new_and_shared(spark):
     base = spark.conf.get("spark.checkpoint.dir")
     first, second = new_folder(spark, "x"), new_folder(spark, "x")
     assert first != second and first.startswith(base)
+
+
+class Session:
+    """As much of a session as the choice of a folder looks at."""
+
+    def __init__(self, master, folder=None):
+        self.conf = {"spark.checkpoint.dir": folder} if folder else {}
+        self.sparkContext = SimpleNamespace(master=master, applicationId="app")
+
+
+def test_only_a_local_session_may_use_a_temporary_folder():
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        new_folder(Session("spark://host:7077"), "x")
+    assert new_folder(Session("spark://host:7077", "hdfs://h/c/"), "x").startswith("hdfs://h/c/tripmill/x-")
+    assert "/run-" in new_folder(Session("local[4]"), "x")
