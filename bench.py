@@ -4,8 +4,8 @@ BENCH_SF_DIR   tables to read (default /root/testdata/sf0.1)
 BENCH_CPUS     local cores (default 8)
 BENCH_QUERIES  comma-separated names instead of the headline ones, or "all"
 
-Each query runs once to warm up, then BENCH_RUNS times (default 3); the median
-counts. A run covers everything: building the plan, the jobs it starts on the
+All queries run once to warm up, then each BENCH_RUNS times (default 3); the
+median counts. A run covers everything: building the plan, the jobs it starts on the
 way, and reading every row and column of the result.
 """
 
@@ -62,10 +62,11 @@ def main() -> None:
         QUERIES[name](spark, sf_dir).write.format("noop").mode("overwrite").save()
         return time.perf_counter() - began
 
-    took = {}
     for name in names:
         seconds(name)
-        took[name] = round(statistics.median(seconds(name) for _ in range(runs)), 3)
+    took = {
+        name: round(statistics.median(seconds(name) for _ in range(runs)), 3) for name in names
+    }
     spark.stop()
     print(
         json.dumps(
