@@ -112,18 +112,18 @@ FROM firsts
 """,
     "op10_decontaminate": """
 WITH doc_words AS (
-  SELECT doc_id, list_filter(regexp_split_to_array(lower(text), '[\\x20\\x09-\\x0D]+'), w -> w <> '') AS words
+  SELECT doc_id, [w FOR w IN regexp_split_to_array(lower(text), '[\\x20\\x09-\\x0D]+') IF w <> ''] AS words
   FROM documents WHERE text IS NOT NULL
 ), item_words AS (
-  SELECT item_id, list_filter(regexp_split_to_array(lower(text), '[\\x20\\x09-\\x0D]+'), w -> w <> '') AS words
+  SELECT item_id, [w FOR w IN regexp_split_to_array(lower(text), '[\\x20\\x09-\\x0D]+') IF w <> ''] AS words
   FROM benchmark WHERE text IS NOT NULL
 ), item_shingles AS (
-  SELECT DISTINCT item_id, unnest(list_transform(range(1, greatest(len(words) - 4, 1) + 1),
-    i -> array_to_string(words[i:i + 4], ' '))) AS shingle
+  SELECT DISTINCT item_id, unnest([array_to_string(words[i:i + 4], ' ')
+    FOR i IN range(1, greatest(len(words) - 4, 1) + 1)]) AS shingle
   FROM item_words WHERE len(words) > 0
 ), doc_shingles AS (
-  SELECT doc_id, unnest(list_transform(range(1, greatest(len(words) - 4, 1) + 1),
-    i -> array_to_string(words[i:i + 4], ' '))) AS shingle
+  SELECT doc_id, unnest([array_to_string(words[i:i + 4], ' ')
+    FOR i IN range(1, greatest(len(words) - 4, 1) + 1)]) AS shingle
   FROM doc_words WHERE len(words) > 0
 ), sizes AS (
   SELECT item_id, count(*) AS n FROM item_shingles GROUP BY item_id

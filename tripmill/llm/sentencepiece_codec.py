@@ -9,6 +9,7 @@ from collections.abc import Iterator, Sequence
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql.types import ArrayType, IntegerType
 
 from tripmill.llm.shared import small_batches
 
@@ -249,7 +250,7 @@ def encode(docs: DataFrame, model_file: str, text: str = "text", ids: str = "tok
             yield pa.RecordBatch.from_arrays([*batch.columns[:-1], values], names=[*rest, ids])
 
     chosen = docs.select(*(docs[c] for c in rest), docs[text].alias("__text"))
-    schema = chosen.drop("__text").schema.add(ids, "array<int>")
+    schema = chosen.drop("__text").schema.add(ids, ArrayType(IntegerType()))
     return chosen.mapInArrow(run, schema)
 
 
