@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 from collections.abc import Iterator
+from pathlib import Path
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -13,7 +14,14 @@ from tripmill.session import new_folder
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """One of the given tables, by any path that Spark reads."""
+    """One of the given tables, by any path that Spark reads.
+
+    Python workers on this machine get the folder that this package was imported from.
+    """
+    root = str(Path(__file__).resolve().parents[2])
+    known = spark.sparkContext.environment
+    if root not in known.get("PYTHONPATH", "").split(os.pathsep):
+        known["PYTHONPATH"] = os.pathsep.join(filter(None, [root, known.get("PYTHONPATH")]))
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
