@@ -1,19 +1,16 @@
-"""A client that keeps items as Parquet files in a shared folder.
-
-It stands in for a live store where none can be reached. Each write is a folder
-and each of its partitions one file, so a partition written again replaces its
-own file. ``read_store`` gives the view a store would give: one item per key.
-"""
+"""A store client for tests: it keeps what it is given as Parquet files, one for each partition."""
 
 from __future__ import annotations
 
 import json
+import sys
 import time
 import uuid
 
 import pyarrow as pa
 import pyarrow.parquet as pq
 from pyarrow import fs
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -46,10 +43,10 @@ class FileStore:
         self.held_rows = 0
 
     def put(self, items: pa.RecordBatch) -> None:
+        if self.held_rows >= _ROWS_PER_GROUP:
+            self._flush()  # before the items are held: a put that is tried again holds them once
         self.held.append(items)
         self.held_rows += items.num_rows
-        if self.held_rows >= _ROWS_PER_GROUP:
-            self._flush()
 
     def close(self) -> None:
         self._flush()
@@ -83,6 +80,7 @@ class FileStore:
 
 
 def register_file_store(spark: SparkSession) -> None:
+    cloudpickle.register_pickle_by_value(sys.modules[__name__])
     register_keyed_sink(spark, SINK_NAME, FileStore)
 
 

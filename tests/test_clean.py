@@ -7,6 +7,8 @@ from datetime import datetime, timedelta
 import pytest
 from pyspark.sql import functions as F
 
+from tripmill.functions.text import equals_ignoring_case
+from tripmill.plans.queries import clean_trips_from_copy
 from tripmill.functions.text import column, has_outer_blanks
 from tripmill.operators.audit import null_counts, rows_with_outer_blanks, schema_table
 from tripmill.operators.clean import (
@@ -211,3 +213,14 @@ def test_zoneless_trips_do_not_depend_on_the_session_zone(spark):
         assert rows().equals(utc)
     finally:
         spark.conf.set("spark.sql.session.timeZone", before)
+
+
+def test_lower_case_is_compared_whatever_the_length(spark):
+    df = spark.createDataFrame([("\u0130STANBUL",), ("istanbul",)], "t string")
+    found = df.filter(equals_ignoring_case(F.col("t"), "i\u0307stanbul")).collect()
+    assert [r.t for r in found] == ["\u0130STANBUL"]
+
+
+def test_null_tests_reach_the_scan_of_a_copy(spark):
+    plan = clean_trips_from_copy(spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
+    assert "IsNotNull(start_station_name)" in plan.split("PushedFilters")[1] and "Generate" not in plan

@@ -76,15 +76,6 @@ def test_numbering_releases_what_it_persists(spark):
     assert not df.is_cached
 
 
-def test_more_data_gets_more_ranges(spark, monkeypatch):
-    df = spark.read.parquet("/root/testdata/sf0.01/orders.parquet")
-    assert numbering.ranges_for(df) is None
-    monkeypatch.setattr(numbering, "BYTES_PER_RANGE", 1000)
-    assert numbering.ranges_for(df) > 8
-    monkeypatch.setattr(numbering, "MOST_RANGES", 10)
-    assert numbering.ranges_for(df) == 10
-
-
 def test_row_range(spark):
     numbered = number_rows(spark.range(1000), ("id",))
     assert [r.id for r in row_range(numbered, 301, 303).orderBy("id").collect()] == [300, 301, 302]

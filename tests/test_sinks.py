@@ -18,7 +18,7 @@ from tripmill.operators.upsert import latest_by_key, upsert
 from tripmill.plans.derived_trips import derived_trips
 from tripmill.plans.preparation import ID_KEYED, TEXT_ITEMS, StorePlan, load_store, table_to_store
 from tripmill.session import new_folder
-from tripmill.sinks.file_store import (
+from recording_store import (
     SINK_NAME,
     FileStore,
     next_write,
@@ -26,6 +26,7 @@ from tripmill.sinks.file_store import (
     register_file_store,
     write_report,
 )
+from tripmill.sinks.keyed_table import read_items, write_items, write_sizes
 from tripmill.sinks.keyed import cut_batches, register_keyed_sink, with_retry, write_keyed
 
 SMALL = "/root/testdata/sf0.001"
@@ -201,11 +202,13 @@ def run_job(folder, body):
     script.write_text(
         f"""
 import sys
-sys.path.insert(0, {str(Path(__file__).resolve().parents[1])!r})
+sys.path[:0] = [{str(Path(__file__).resolve().parents[1])!r}, {str(Path(__file__).resolve().parent)!r}]
 from tripmill.session import build_session
-from tripmill.sinks.file_store import *
+import recording_store
+from recording_store import *
 from tripmill.sinks.keyed import register_keyed_sink, write_keyed
-from pyspark import TaskContext
+from pyspark import TaskContext, cloudpickle
+cloudpickle.register_pickle_by_value(recording_store)
 spark = build_session("job", "local[2,3]", {{"spark.ui.enabled": "false"}})
 path = {str(folder / "store")!r}
 {body}
@@ -308,3 +311,42 @@ def test_report_is_json(spark, store):
     put(spark.range(5), store, ["id"])
     files = list(Path(store).rglob("_report.json"))
     assert len(files) == 1 and json.loads(files[0].read_text())["rows"] == 5
+
+
+def test_items_of_a_failed_flush_are_stored_once(spark, store):
+    class Shaky(FileStore):
+        failed = False
+
+        def _flush(self):
+            if not self.failed:
+                self.failed = True
+                raise OSError("try again")
+            super()._flush()
+
+    register_keyed_sink(spark, "shaky", Shaky)
+    write_keyed(spark.range(70_000, numPartitions=1), "shaky", ["id"], path=store, writeNumber=1, delaySeconds=0)
+    assert spark.read.parquet(store).count() == write_report(store, 1)["rows"] == 70_000
+    assert write_report(store, 1)["retries"] == 1
+
+
+def test_keys_are_checked(spark, store):
+    with pytest.raises(Exception, match="no such key"):
+        put(spark.range(3), store, ["other"])
+    with pytest.raises(Exception, match="null"):
+        put(spark.range(3).select(F.when(F.col("id") > 0, F.col("id")).alias("id")), store, ["id"])
+
+
+def test_a_keyed_table_merges_writes_and_columns(spark):
+    folder = new_folder(spark, "items")
+    write_items(spark.createDataFrame([(1, "a"), (2, "b")], "k int, v string"), folder, ["k"], write=1)
+    write_items(spark.createDataFrame([(2, "c", 5)], "k int, v string, w int"), folder, ["k"], write=2)
+    assert sorted(map(tuple, read_items(spark, folder, ["k"]).select("k", "v", "w").collect())) == [(1, "a", None), (2, "c", 5)]
+    assert {r.put_order: r.n_rows for r in write_sizes(spark, folder).collect()} == {1: 2, 2: 1}
+    with pytest.raises(Exception, match="a key is null"):
+        write_items(spark.createDataFrame([(None, "a")], "k int, v string"), folder, ["k"])
+
+
+def test_null_keys_are_equal_in_an_upsert(spark):
+    old = spark.createDataFrame([(None, 1), (1, 1)], "k int, v int")
+    new = spark.createDataFrame([(None, 2)], "k int, v int")
+    assert sorted(r.v for r in upsert(old, new, ["k"], ["v"]).collect()) == [1, 2]

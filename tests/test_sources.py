@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+from pathlib import Path
 from types import SimpleNamespace
 
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegerType, StringType, StructField, StructType
 
 from tripmill.fixed_values import MONTHS
 from tripmill.session import new_folder
@@ -14,6 +16,7 @@ from tripmill.sources.files import (
     month_paths,
     parquet_if_absent,
     read_csv,
+    split_rejected,
     union_by_position,
 )
 from tripmill.sources.tables import query_view, read_table
@@ -74,11 +77,28 @@ def test_parquet_copy_is_built_once(spark):
     assert built == [1]
 
 
-def test_half_written_copy_is_built_again(spark, tmp_path):
+def test_data_without_a_marker_stays(spark, tmp_path):
     path = tmp_path / "copy"
     spark.range(3).write.parquet(str(path))
     (path / "_SUCCESS").unlink()
-    assert parquet_if_absent(spark, str(path), lambda: spark.range(10)).count() == 10
+    assert parquet_if_absent(spark, str(path), lambda: spark.range(10)).count() == 3
+
+
+def test_a_folder_without_parquet_raises(spark, tmp_path):
+    (tmp_path / "copy" / "_temporary").mkdir(parents=True)
+    with pytest.raises(Exception, match="(?i)infer"):
+        parquet_if_absent(spark, str(tmp_path / "copy"), lambda: spark.range(10))
+
+
+def test_values_that_do_not_parse_fail_or_are_told(spark, tmp_path):
+    path = str(tmp_path / "bad.csv")
+    Path(path).write_text("id,n\na,1\nb,1/1/2022\nc,3\n")
+    schema = StructType([StructField("id", StringType()), StructField("n", IntegerType())])
+    with pytest.raises(Exception, match="(?i)malformed"):
+        read_csv(spark, path, schema).collect()
+    good, bad = split_rejected(read_csv(spark, path, schema, rejected="rest").cache(), "rest")
+    assert sorted(good.collect()) == [("a", 1), ("c", 3)]
+    assert [r.rest for r in bad.collect()] == ["b,1/1/2022"]
 
 
 def test_table_and_view(spark):

@@ -29,11 +29,9 @@ def decimal_text(number: Column) -> Column:
 
 def sequence_key(number: Column, prefix: str, digits: int) -> Column:
     """Prefix and zero-padded number; a number with more digits is kept whole."""
-    figures = number.cast("string")
-    padded = F.lpad(figures, digits, "0")
-    return F.concat(F.lit(prefix), F.when(F.length(figures) < digits, padded).otherwise(figures))
+    return F.concat(F.lit(prefix), F.format_string(f"%0{digits}d", number))
 
 
 def batch_number(row_number: Column, batch_rows: int) -> Column:
     """1-based number of the run of ``batch_rows`` consecutive rows."""
-    return F.floor((row_number - 1) / batch_rows) + 1
+    return F.call_function("div", row_number - 1, F.lit(batch_rows)) + 1

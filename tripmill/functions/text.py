@@ -47,22 +47,14 @@ def contains_word(text: Column, word: str, ignore_case: bool = True) -> Column:
 
 
 def equals_ignoring_case(text: Column, other: str) -> Column:
-    """``other`` is ASCII; the cheap length test spares most values the conversion.
-
-    Lower case turns a character into one ASCII character or into something that
-    is not ASCII, so values of another length cannot be equal.
-    """
-    return (F.length(text) == len(other)) & (F.lower(text) == other.lower())
+    """Both in Spark's lower case."""
+    return F.lower(text) == F.lower(F.lit(other))
 
 
 def any_contains(names: Iterable[str], word: str, ignore_case: bool = True) -> Column:
     return any_of(contains_word(column(n), word, ignore_case) for n in names)
 
 
-def remove_pattern(text: Column, pattern: str, needle: str) -> Column:
-    """Remove every match of ``pattern``, a regex that only matches around ``needle``.
-
-    Few names hold the needle, and a byte search for it is much cheaper than
-    decoding each name for the regex.
-    """
-    return F.when(text.contains(needle), F.regexp_replace(text, pattern, "")).otherwise(text)
+def remove_pattern(text: Column, pattern: str) -> Column:
+    """Remove every match of ``pattern``."""
+    return F.regexp_replace(text, pattern, "")

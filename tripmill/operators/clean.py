@@ -44,11 +44,8 @@ class TripRules:
     min_seconds: int = MIN_RIDE_SECONDS
     blocked_words: tuple[str, ...] = (TEST_WORD,)
     blocked_values: tuple[str, ...] = (REPAIR_STATION,)
-    # (pattern, text every match contains), applied in this order
-    removals: tuple[tuple[str, str], ...] = (
-        (ASTERISK_PATTERN, "*"),
-        (TEMP_PATTERN, "(Temp)"),
-    )
+    # applied in this order
+    removals: tuple[str, ...] = (ASTERISK_PATTERN, TEMP_PATTERN)
 
     @property
     def names(self) -> tuple[str, str]:
@@ -67,23 +64,26 @@ def trim_text(df: DataFrame) -> DataFrame:
     )
 
 
-def is_complete(df: DataFrame) -> Column:
-    """No column is null or NaN."""
-    terms = [f"{quoted(f.name)} IS NOT NULL" for f in df.schema.fields] + [
-        f"NOT isnan({quoted(f.name)})"
-        for f in df.schema.fields
-        if isinstance(f.dataType, (FloatType, DoubleType))
-    ]
+def is_complete(df: DataFrame, keep_nan: bool = False) -> Column:
+    """No column is null or, unless they are kept, NaN."""
+    terms = [f"{quoted(f.name)} IS NOT NULL" for f in df.schema.fields]
+    if not keep_nan:
+        terms += [
+            f"NOT isnan({quoted(f.name)})"
+            for f in df.schema.fields
+            if isinstance(f.dataType, (FloatType, DoubleType))
+        ]
     return F.expr(" AND ".join(terms))
 
 
-def drop_incomplete(df: DataFrame) -> DataFrame:
+def drop_incomplete(df: DataFrame, keep_nan: bool = False) -> DataFrame:
     """Drop rows with a null, or NaN, in any column.
 
     Same rows as ``dropna``, but one null test per column, which the Parquet
-    scan can evaluate; ``dropna`` is a single opaque count to it.
+    scan can evaluate; ``dropna`` is a single opaque count to it. ``keep_nan``
+    gives the rows that ``IS NOT NULL`` on every column keeps.
     """
-    return df.filter(is_complete(df))
+    return df.filter(is_complete(df, keep_nan))
 
 
 def trim_and_complete(df: DataFrame) -> DataFrame:
@@ -124,8 +124,8 @@ def is_public_ride(rules: TripRules = TripRules()) -> Column:
 
 def tidy_names(df: DataFrame, rules: TripRules = TripRules()) -> DataFrame:
     """Remove the marks from station names, one pattern after the other."""
-    for pattern, needle in rules.removals:
-        df = df.withColumns({n: remove_pattern(column(n), pattern, needle) for n in rules.names})
+    for pattern in rules.removals:
+        df = df.withColumns({n: remove_pattern(column(n), pattern) for n in rules.names})
     return df
 
 

@@ -14,30 +14,11 @@ from tripmill.functions.text import column
 from tripmill.functions.time import time_key
 from tripmill.session import new_folder
 
-# Scanned bytes per range, several times as many once decoded, and the most
-# ranges a shuffle of many input tasks can carry.
-BYTES_PER_RANGE = 64 << 20
-MOST_RANGES = 50_000
-
 _RUN = "__run"
 _POSITION = "__position"
 _SHIFT = "__shift"
 
 
-def ranges_for(df: DataFrame) -> int | None:
-    """How many ranges suit the size of ``df``; None to leave it to the session.
-
-    The session's number of shuffle partitions, which adaptive execution merges
-    where they are small, is right until the data outgrows it.
-    """
-    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-    needed = size // BYTES_PER_RANGE
-    unknown = size >= 1 << 62
-    if unknown or needed <= int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")):
-        return None
-    return min(needed, MOST_RANGES)
-
-
 def number_rows(
     df: DataFrame,
     order_by: Sequence[str],
@@ -57,6 +38,9 @@ def number_rows(
       time that a third of all rows share is cut into many ranges.
     * The cut points are sampled, so another run may cut elsewhere. The written
       table fixes them: counts, batches and retries all see the same numbers.
+    * ``partitions`` is the number of ranges; without it the session's number of
+      shuffle partitions holds, which adaptive execution merges where they are
+      small. Counting the ranges takes one row for each in one task.
     * Spark evaluates ``df`` twice, for the sample and for the shuffle;
       ``persist`` keeps it in between, for inputs that are costly to parse.
 
@@ -65,7 +49,6 @@ def number_rows(
     spark = df.sparkSession
     path = path or new_folder(spark, "numbered")
     keys = [column(c) for c in order_by]
-    partitions = partitions or ranges_for(df)
     target = [] if partitions is None else [partitions]
 
     source = df.persist(persist) if persist is not None else df

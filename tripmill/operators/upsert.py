@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tripmill.functions.text import column
+from tripmill.functions.text import column, quoted
 
 
 def latest_by_key(df: DataFrame, keys: Sequence[str], order_by: Sequence[str]) -> DataFrame:
@@ -34,14 +34,13 @@ def latest_by_key(df: DataFrame, keys: Sequence[str], order_by: Sequence[str]) -
 def upsert(
     target: DataFrame, batch: DataFrame, keys: Sequence[str], order_by: Sequence[str]
 ) -> DataFrame:
-    """``target``, one row per key, after writing ``batch`` over it; no key is null.
+    """``target``, one row per key, after writing ``batch`` over it; null keys are equal.
 
     Rows of the target whose key is not in the batch pass through: only they and
     the batch keys meet in a join, whose strategy Spark picks by their size.
     Neither side repeats a key by then, so the join has no hot key.
     """
     newest = latest_by_key(batch, keys, order_by)
-    newest_keys = newest.select(*[column(k) for k in keys])
-    return target.join(newest_keys, list(keys), "left_anti").select(
-        *[column(c) for c in target.columns]
-    ).unionByName(newest)
+    asked = newest.select(*[column(k).alias(f"__{i}") for i, k in enumerate(keys)])
+    same = [target[quoted(k)].eqNullSafe(F.col(f"__{i}")) for i, k in enumerate(keys)]
+    return target.join(asked, same, "left_anti").unionByName(newest)

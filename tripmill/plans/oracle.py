@@ -134,12 +134,19 @@ def _stations_like(pattern: str) -> str:
 
 
 LATEST_EVENTS = """
-SELECT user_id, event_type, event_id, ts, value FROM (
+SELECT * EXCLUDE (place) FROM (
   SELECT *, row_number() OVER (
     PARTITION BY user_id, event_type ORDER BY event_id DESC) AS place
   FROM events
 ) WHERE place = 1"""
 
+LATEST_WRITE = """
+SELECT * EXCLUDE (place) FROM (
+  SELECT *, row_number() OVER (PARTITION BY user_id, event_type
+    ORDER BY coalesce(value >= 10, false) DESC, event_id DESC) AS place
+  FROM events
+) WHERE place = 1"""
+
 ORACLE_SQL: dict[str, str] = {
     "trips_source": f"WITH {TRIPS} SELECT * FROM trips",
     "whitespace_rows": f"""WITH {TRIPS}, flagged AS (SELECT *, {FLAGS} FROM trips)
@@ -203,7 +210,7 @@ ORACLE_SQL: dict[str, str] = {
         FROM keyed GROUP BY 1""",
     "store_text": f"WITH {STORED} SELECT * FROM stored",
     "row_range": """
-        SELECT event_id, ts, user_id, event_type, row_number FROM (
+        SELECT * FROM (
           SELECT *, row_number() OVER (ORDER BY ts, event_id) AS row_number FROM events)
         WHERE row_number BETWEEN 301 AND 600""",
     "row_count": "SELECT count(*) AS n FROM orders",
@@ -217,12 +224,30 @@ ORACLE_SQL: dict[str, str] = {
     "view_scan": """SELECT o_orderkey, o_orderstatus, o_totalprice FROM orders
         WHERE o_orderkey IS NOT NULL""",
     "upsert_result": LATEST_EVENTS,
-    "upsert_two_writes": """
-        SELECT user_id, event_type, event_id, ts, value FROM (
-          SELECT *, row_number() OVER (
-            PARTITION BY user_id, event_type ORDER BY value >= 10 DESC, event_id DESC) AS place
-          FROM events
-        ) WHERE place = 1""",
+    "upsert_two_writes": LATEST_WRITE,
+    "keyed_upsert_read_back": LATEST_WRITE,
+    "csv_rejected_rows": """
+        SELECT o_orderkey, o_custkey,
+          CASE WHEN o_orderkey % 50 <> 0 THEN o_totalprice END AS o_totalprice,
+          o_orderkey % 50 = 0 AS rejected
+        FROM orders""",
+    "drop_nulls_keep_nan": """
+        SELECT event_id, event_id % 7 = 0 OR isnan(value) AS is_nan FROM events
+        WHERE event_id % 5 <> 0 AND (value IS NOT NULL OR event_id % 7 = 0)
+          AND ts IS NOT NULL AND user_id IS NOT NULL AND event_type IS NOT NULL AND props IS NOT NULL""",
+    "lookup_checks": f"""WITH {CLEAN}
+        SELECT stage, count(*) FILTER (start_station_id = 'chargingstx3') AS starred,
+          count(*) FILTER (end_station_id = '13285') AS temporary,
+          count(*) FILTER (end_station_id = 'DIVVY CASSETTE REPAIR MOBILE STATION') AS repair,
+          count(*) FILTER (start_station_id = 'DIVVY 001 - Warehouse test station') AS warehouse
+        FROM (SELECT 'before' AS stage, start_station_id, end_station_id FROM trips
+          UNION ALL SELECT 'after', start_station_id, end_station_id FROM cleaned)
+        GROUP BY stage""",
+    "shortest_kept_rides_top6": f"""WITH {RIDES}
+        SELECT ride_id, ride_length FROM rides ORDER BY ride_length, ride_id LIMIT 6""",
+    "clean_trips_from_copy": f"WITH {CLEAN} SELECT * FROM cleaned",
+    "upper_start_from_copy": f"""WITH {RIDES}
+        SELECT * FROM rides WHERE upper(start_station_name) = start_station_name""",
     "keyed_sink_read_back": LATEST_EVENTS,
     "store_trips_read_back": f"WITH {STORED} SELECT * FROM stored",
     "keyed_sink_progress": "SELECT count(*) AS n_rows FROM events",

@@ -2,16 +2,16 @@
 
 from __future__ import annotations
 
-import zlib
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tripmill.fixed_values import MONTHS, REPAIR_STATION, RESCUED_COLUMN, TEST_WORD
+from tripmill.fixed_values import REPAIR_STATION, RESCUED_COLUMN, TEST_WORD
 from tripmill.functions.text import any_contains, contains_word
 from tripmill.operators import audit
-from tripmill.operators.clean import clean_trips, long_rides, trim_and_complete, trim_text
+from tripmill.operators.clean import clean_trips, drop_incomplete, long_rides, trim_and_complete, trim_text
 from tripmill.operators.numbering import number_rows, row_range
 from tripmill.operators.store_form import batch_summary
 from tripmill.operators.upsert import latest_by_key, upsert
@@ -19,14 +19,7 @@ from tripmill.plans import exploration as ex
 from tripmill.plans.derived_trips import derived_trips
 from tripmill.plans.preparation import ID_KEYED, TEXT_ITEMS, keyed_trips, store_items
 from tripmill.session import new_folder
-from tripmill.sinks.file_store import (
-    SINK_NAME,
-    next_write,
-    read_store,
-    register_file_store,
-    write_report,
-)
-from tripmill.sinks.keyed import write_keyed
+from tripmill.sinks.keyed_table import read_items, write_items, write_sizes
 from tripmill.sources.files import parquet_if_absent, read_csv, union_by_position
 from tripmill.sources.tables import query_view, read_table
 
@@ -91,7 +84,7 @@ def row_count(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def numbered_row_range(spark: SparkSession, sf_dir: str) -> DataFrame:
-    events = _table(spark, sf_dir, "events").select("event_id", "ts", "user_id", "event_type")
+    events = _table(spark, sf_dir, "events")
     return row_range(number_rows(events, ("ts", "event_id")), 301, 600)
 
 
@@ -108,25 +101,93 @@ def store_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return store_items(keyed_trips(derived_trips(spark, sf_dir), TEXT_ITEMS), TEXT_ITEMS)
 
 
+_NO_MONTH = "00"
+_MICROSECONDS = {"timestampNTZFormat": "yyyy-MM-dd HH:mm:ss.SSSSSS"}
+
+
 def _by_month(spark: SparkSession, sf_dir: str) -> DataFrame:
-    month = F.lpad(F.month("o_orderdate").cast("string"), 2, "0")
+    month = F.coalesce(F.lpad(F.month("o_orderdate").cast("string"), 2, "0"), F.lit(_NO_MONTH))
     return _table(spark, sf_dir, "orders").withColumn("month", month)
 
 
+def _months_of(orders: DataFrame) -> list[str]:
+    """The folders there are: at most twelve months, and that of rows without a date."""
+    return sorted(row["month"] for row in orders.select("month").distinct().collect())
+
+
 def union_months(spark: SparkSession, sf_dir: str) -> DataFrame:
-    folder = new_folder(spark, "months")
-    _by_month(spark, sf_dir).write.partitionBy("month").parquet(folder)
-    schema = _table(spark, sf_dir, "orders").schema
-    return union_by_position(
-        [spark.read.schema(schema).parquet(f"{folder}/month={m}") for m in MONTHS]
-    )
+    """Months as frames of their own, of which the even ones hold the key as text."""
+    folder, orders = new_folder(spark, "months"), _by_month(spark, sf_dir)
+    orders.write.partitionBy("month").parquet(folder)
+    schema = orders.drop("month").schema
+    frames = [
+        spark.read.schema(schema).parquet(f"{folder}/month={m}").withColumn(
+            "o_orderkey", F.col("o_orderkey").cast("string" if int(m) % 2 == 0 and k else "bigint")
+        )
+        for k, m in enumerate(_months_of(orders))
+    ]
+    return union_by_position(frames)
 
 
 def csv_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
-    folder = new_folder(spark, "csv")
-    _by_month(spark, sf_dir).write.partitionBy("month").csv(folder, header=True)
-    schema = _table(spark, sf_dir, "orders").schema
-    return read_csv(spark, [f"{folder}/month={m}" for m in MONTHS], schema)
+    folder, orders = new_folder(spark, "csv"), _by_month(spark, sf_dir)
+    orders.write.options(**_MICROSECONDS).partitionBy("month").csv(folder, header=True)
+    paths = [f"{folder}/month={m}" for m in _months_of(orders)]
+    return read_csv(spark, paths, orders.drop("month").schema, **_MICROSECONDS)
+
+
+def csv_rejected_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders as CSV, of which every fiftieth has a price that is no number: none is lost."""
+    folder, orders = new_folder(spark, "csv"), _table(spark, sf_dir, "orders")
+    price = F.when(F.col("o_orderkey") % 50 == 0, F.lit("41,1")).otherwise(F.col("o_totalprice").cast("string"))
+    orders.withColumn("o_totalprice", price).write.options(**_MICROSECONDS).csv(folder, header=True)
+    read = read_csv(spark, folder, orders.schema, rejected="_rescued_data", **_MICROSECONDS)
+    return read.select(
+        "o_orderkey", "o_custkey", "o_totalprice", F.col("_rescued_data").isNotNull().alias("rejected")
+    )
+
+
+def drop_nulls_keep_nan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events of which some values are turned into null and some into NaN: the latter stay."""
+    value = F.when(F.col("event_id") % 5 == 0, F.lit(None)).when(
+        F.col("event_id") % 7 == 0, F.lit(float("nan"))
+    ).otherwise(F.col("value"))
+    marked = _table(spark, sf_dir, "events").withColumn("value", value)
+    return drop_incomplete(marked, keep_nan=True).select("event_id", F.isnan("value").alias("is_nan"))
+
+
+def lookup_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows of the four stations that the checks ask for, before and after cleaning."""
+    trips = derived_trips(spark, sf_dir)
+    checks = {
+        "starred": F.col("start_station_id") == "chargingstx3",
+        "temporary": F.col("end_station_id") == "13285",
+        "repair": F.col("end_station_id") == REPAIR_STATION.upper(),
+        "warehouse": F.col("start_station_id") == "DIVVY 001 - Warehouse test station",
+    }
+    stages = {"before": trips, "after": clean_trips(trips)}
+    counted = [
+        audit.counts_where(frame, checks).withColumn("stage", F.lit(stage)) for stage, frame in stages.items()
+    ]
+    return counted[0].unionByName(counted[1])
+
+
+def shortest_kept_rides(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kept = long_rides(derived_trips(spark, sf_dir))
+    return kept.orderBy("ride_length", "ride_id").limit(6).select("ride_id", "ride_length")
+
+
+def _stored_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The trips as a Parquet copy, whose scan the null tests reach."""
+    return parquet_if_absent(spark, new_folder(spark, "trips"), lambda: derived_trips(spark, sf_dir))
+
+
+def clean_trips_from_copy(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return clean_trips(_stored_trips(spark, sf_dir))
+
+
+def upper_start_from_copy(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ex.upper_start(long_rides(_stored_trips(spark, sf_dir)))
 
 
 def parquet_copy(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -139,12 +200,12 @@ def parquet_copy(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def table_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """An external catalog table over the given files, with a bookkeeping column."""
-    path = f"{sf_dir}/orders.parquet"
-    name = f"orders_{zlib.crc32(path.encode()):08x}"
-    if not spark.catalog.tableExists(name):
-        schema = spark.read.parquet(path).schema.add(RESCUED_COLUMN, "string")
-        spark.catalog.createTable(name, path, source="parquet", schema=schema)
-    return read_table(spark, name)
+    path, name = f"{sf_dir}/orders.parquet", f"orders_{uuid.uuid4().hex}"
+    schema = spark.read.parquet(path).schema.add(RESCUED_COLUMN, "string")
+    spark.catalog.createTable(name, path, source="parquet", schema=schema)
+    found = read_table(spark, name)
+    spark.sql(f"DROP TABLE {name}")  # its files are given ones and stay
+    return found
 
 
 def view_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -156,51 +217,51 @@ def view_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def _keyed_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _table(spark, sf_dir, "events").select(
-        "user_id", "event_type", "event_id", "ts", "value"
-    )
+_EVENT_KEYS = ("user_id", "event_type")
 
 
 def upsert_result(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return latest_by_key(
-        _keyed_events(spark, sf_dir), ("user_id", "event_type"), ("event_id",)
-    )
+    return latest_by_key(_table(spark, sf_dir, "events"), _EVENT_KEYS, ("event_id",))
+
+
+def _two_writes(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """Events of 10 and more are written over all others."""
+    events, later = _table(spark, sf_dir, "events"), F.coalesce(F.col("value") >= 10, F.lit(False))
+    return events.filter(~later), events.filter(later)
 
 
 def upsert_two_writes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Events below the value 10 are written first, all others over them."""
-    events, keys = _keyed_events(spark, sf_dir), ("user_id", "event_type")
-    stored = latest_by_key(events.filter(F.col("value") < 10), keys, ("event_id",))
-    return upsert(stored, events.filter(F.col("value") >= 10), keys, ("event_id",))
+    first, second = _two_writes(spark, sf_dir)
+    stored = latest_by_key(first, _EVENT_KEYS, ("event_id",))
+    return upsert(stored, second, _EVENT_KEYS, ("event_id",))
 
 
 def keyed_sink_read_back(spark: SparkSession, sf_dir: str) -> DataFrame:
-    folder, keys = new_folder(spark, "store"), ["user_id", "event_type"]
-    register_file_store(spark)
-    write_keyed(upsert_result(spark, sf_dir), SINK_NAME, keys, path=folder, writeNumber=next_write())
-    return read_store(spark, folder, keys)
+    folder = new_folder(spark, "store")
+    write_items(upsert_result(spark, sf_dir), folder, _EVENT_KEYS)
+    return read_items(spark, folder, _EVENT_KEYS)
+
+
+def keyed_upsert_read_back(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A second write over existing keys."""
+    folder = new_folder(spark, "store")
+    for number, items in enumerate(_two_writes(spark, sf_dir)):
+        write_items(items, folder, _EVENT_KEYS, ("event_id",), number)
+    return read_items(spark, folder, _EVENT_KEYS)
 
 
 def store_trips_read_back(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The whole job: clean, number, key, write in batches, read the store back."""
-    folder, plan = new_folder(spark, "store"), TEXT_ITEMS
-    register_file_store(spark)
-    items = store_text(spark, sf_dir)
-    write_keyed(
-        items, SINK_NAME, plan.store_keys, plan.batch_rows, plan.number,
-        path=folder, writeNumber=next_write(),
-    )
-    return read_store(spark, folder, list(plan.store_keys))
+    """The whole job: clean, number, key, write, read the store back."""
+    folder, keys = new_folder(spark, "store"), TEXT_ITEMS.store_keys
+    write_items(store_text(spark, sf_dir), folder, keys)
+    return read_items(spark, folder, keys)
 
 
 def keyed_sink_progress(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """What the writers report: the rows that all of them put."""
-    folder, number = new_folder(spark, "store"), next_write()
-    register_file_store(spark)
-    events = _table(spark, sf_dir, "events").select("event_id", "event_type", "value")
-    write_keyed(events, SINK_NAME, ["event_id"], path=folder, writeNumber=number)
-    return spark.createDataFrame([(write_report(folder, number)["rows"],)], "n_rows bigint")
+    """The rows that a write has stored."""
+    folder = new_folder(spark, "store")
+    write_items(_table(spark, sf_dir, "events"), folder, ["event_id"])
+    return write_sizes(spark, folder).select("n_rows")
 
 
 QUERIES: dict[str, Query] = {
@@ -239,6 +300,13 @@ QUERIES: dict[str, Query] = {
     "word_test_desc_top10": word_test_documents,
     "union_months": union_months,
     "csv_round_trip": csv_round_trip,
+    "csv_rejected_rows": csv_rejected_rows,
+    "drop_nulls_keep_nan": drop_nulls_keep_nan,
+    "lookup_checks": lookup_checks,
+    "shortest_kept_rides_top6": shortest_kept_rides,
+    "clean_trips_from_copy": clean_trips_from_copy,
+    "upper_start_from_copy": upper_start_from_copy,
+    "keyed_upsert_read_back": keyed_upsert_read_back,
     "parquet_if_absent": parquet_copy,
     "table_scan": table_scan,
     "view_scan": view_scan,

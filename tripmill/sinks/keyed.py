@@ -39,12 +39,14 @@ class StoreClient(Protocol):
         """Store the items, at most one batch; existing keys are replaced."""
 
     def close(self) -> None:
-        """All items of the partition have been put."""
+        """All items of the partition have been put. Called again after a transient error."""
 
     def report(self, reports: list[PartitionReport]) -> None:
         """Called once, on the driver's side, after every partition is written."""
 
 
+# A client may also have ``discard()``, called in a task that fails, and ``abort(reports)``,
+# called on the driver's side when the write has failed.
 ClientFactory = Callable[[dict[str, str]], StoreClient]
 
 
@@ -120,8 +122,9 @@ def with_retry(
 
 
 class _KeyedWriter(DataSourceArrowWriter):
-    def __init__(self, options: dict[str, str], make_client: ClientFactory):
+    def __init__(self, options: dict[str, str], keys: Sequence[str], make_client: ClientFactory):
         self.options = options
+        self.keys = keys
         self.make_client = make_client
 
     def write(self, iterator: Iterator[pa.RecordBatch]) -> PartitionReport:
@@ -135,19 +138,38 @@ class _KeyedWriter(DataSourceArrowWriter):
 
         client = self.make_client(options)
         report = PartitionReport(TaskContext.get().partitionId(), 0, 0, 0)
-        client.open(report.partition)
-        for items in cut_batches(iterator, size, options.get("numbercolumn")):
-            began = time.monotonic()
-            report.retries += with_retry(
-                lambda items=items: client.put(items), client.transient, tries, delay, backoff
-            )
-            report.rows += items.num_rows
-            report.batches += 1
-            if rate:
-                time.sleep(max(0.0, 1 / rate - (time.monotonic() - began)))
-        client.close()
+        closed = False
+
+        def retried(action: Callable[[], None]) -> None:
+            report.retries += with_retry(action, client.transient, tries, delay, backoff)
+
+        try:
+            client.open(report.partition)
+            for items in cut_batches(iterator, size, options.get("numbercolumn")):
+                began = time.monotonic()
+                self.check_keys(items)
+                retried(lambda items=items: client.put(items))
+                report.rows += items.num_rows
+                report.batches += 1
+                if rate:
+                    time.sleep(max(0.0, 1 / rate - (time.monotonic() - began)))
+            retried(client.close)
+            closed = True
+        finally:
+            if not closed and hasattr(client, "discard"):
+                client.discard()
         return report
 
+    def check_keys(self, items: pa.RecordBatch) -> None:
+        for key in self.keys:
+            if items.column(key).null_count:
+                raise ValueError(f"the key column {key} holds a null")
+
+    def abort(self, messages: list[PartitionReport | None]) -> None:
+        client = self.make_client(self.options)
+        if hasattr(client, "abort"):
+            client.abort([m for m in messages if m is not None])
+
     def commit(self, messages: list[PartitionReport | None]) -> None:
         self.make_client(self.options).report([m for m in messages if m is not None])
 
@@ -168,7 +190,10 @@ def register_keyed_sink(spark: SparkSession, name: str, make_client: ClientFacto
                 raise ValueError("a keyed sink replaces items by key: use mode('append')")
             if "keys" not in self.options:
                 raise ValueError("name the key columns in the option 'keys'")
-            return _KeyedWriter({k.lower(): v for k, v in self.options.items()}, make_client)
+            keys = self.options["keys"].split(",")
+            if missing := set(keys) - set(schema.names):
+                raise ValueError(f"no such key columns: {sorted(missing)}")
+            return _KeyedWriter({k.lower(): v for k, v in self.options.items()}, keys, make_client)
 
     # The classes travel by value: executors need no copy of this package.
     cloudpickle.register_pickle_by_value(sys.modules["tripmill"])

@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable, Sequence
 from functools import reduce
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import (
     DoubleType,
@@ -48,18 +49,37 @@ def month_paths(
 
 
 def read_csv(
-    spark: SparkSession, paths: str | Sequence[str], schema: StructType = TRIP_SCHEMA
+    spark: SparkSession,
+    paths: str | Sequence[str],
+    schema: StructType = TRIP_SCHEMA,
+    rejected: str | None = None,
+    **options: str,
 ) -> DataFrame:
     """One scan over all files under one declared schema.
 
-    ``enforceSchema`` is off so that a file whose header names other columns
-    fails instead of being read by position.
+    A value that its column's type can't hold, or a row of another length, fails the
+    job. With ``rejected``, such a row is kept with what could be read of it and its
+    whole line in a text column of that name, which is null for every sound row:
+    ``split_rejected`` tells them apart. ``enforceSchema`` is off so that a file whose
+    header names other columns fails instead of being read by position.
     """
-    return spark.read.schema(schema).csv(
+    reader = spark.read.options(**options)
+    if rejected is None:
+        reader = reader.option("mode", "FAILFAST")
+    else:
+        schema = StructType([*schema.fields, StructField(rejected, StringType())])
+        reader = reader.option("columnNameOfCorruptRecord", rejected)
+    return reader.schema(schema).csv(
         [paths] if isinstance(paths, str) else list(paths), header=True, enforceSchema=False
     )
 
 
+def split_rejected(read: DataFrame, rejected: str) -> tuple[DataFrame, DataFrame]:
+    """The sound rows without that column, and the rejected lines."""
+    mark = column(rejected)
+    return read.filter(mark.isNull()).drop(rejected), read.filter(mark.isNotNull()).select(mark)
+
+
 def union_by_position(frames: Sequence[DataFrame]) -> DataFrame:
     """UNION ALL by position under the first frame's names and types.
 
@@ -81,13 +101,16 @@ def union_by_position(frames: Sequence[DataFrame]) -> DataFrame:
 def parquet_if_absent(
     spark: SparkSession, path: str, build: Callable[[], DataFrame]
 ) -> DataFrame:
-    """Read the Parquet copy at ``path``, writing it first where it is missing.
+    """Read the Parquet copy at ``path``, writing it first where there is nothing.
 
-    A folder without a success marker is the rest of a failed write and is
-    written again. ``build`` is only called when there is something to write.
+    What is there is read as it is and never replaced; a folder that holds no
+    Parquet file, such as the rest of a failed write, raises. ``build`` is only
+    called when there is nothing at ``path``.
     """
-    hadoop = spark._jvm.org.apache.hadoop.fs
-    marker = hadoop.Path(path, "_SUCCESS")
-    if not marker.getFileSystem(spark._jsc.hadoopConfiguration()).exists(marker):
-        build().write.mode("overwrite").parquet(path)
+    try:
+        return spark.read.parquet(path)
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+    build().write.parquet(path)
     return spark.read.parquet(path)
