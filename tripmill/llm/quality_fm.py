@@ -98,7 +98,7 @@ def fit(rows: list[tuple[np.ndarray, np.ndarray, np.ndarray, int]], rank: int =
     model = FactorisationMachine(
         np.zeros((n_stats, STEPS - 1)), prior, np.zeros(size, np.float32), (random.normal(0, 0.01, (size, rank))).astype(np.float32)
     )
-    if not 0 < share < 1:
+    if not rows or not 0 < share < 1:
         model.factors[:] = 0
         return model
     stats = np.nan_to_num(np.array([row[2] for row in rows]))
