@@ -47,10 +47,11 @@ def _radius(points: np.ndarray, center: np.ndarray) -> float:
     return float(np.sqrt(max(0.0, 2 - 2 * (points @ center).min(initial=1.0)))) + 1e-7
 
 
-def _net(points: np.ndarray, reach: float) -> list[np.ndarray]:
+def _net(points: np.ndarray, reach: float) -> list[np.ndarray] | None:
     """Parts of the points: the first that no center reaches becomes one, and takes what it reaches.
 
     Each part begins with its center. Candidates meet all open points in one matrix product.
+    None if the reach is wide and the first candidates group little: such a level prunes little.
     """
     least = 1 - reach**2 / 2 - 1e-12
     open_ = np.ones(len(points), dtype=bool)
@@ -65,6 +66,8 @@ def _net(points: np.ndarray, reach: float) -> list[np.ndarray]:
                 part = np.concatenate([[candidate], part[part != candidate]])
                 parts.append(part)
                 open_[part] = False
+        if reach > _FINE and len(rest) == len(points) and len(parts) * 4 > len(points) - open_.sum():
+            return None
     return parts
 
 
@@ -82,7 +85,7 @@ def build(points: np.ndarray) -> Tree:
             while reach >= radius[node]:
                 reach /= 2
             parts = _net(own, reach)
-            while reach > _FINE and len(parts) * 4 > len(own):  # a level that groups little prunes little
+            while parts is None:
                 reach /= 2
                 parts = _net(own, reach)
             order[low:high] = order[low:high][np.concatenate(parts)]
