@@ -263,7 +263,7 @@ def test_html_text(spark):
     rows = [(1, "u", page, 5), (2, None, None, 6), (3, "u", "", 7), (3, "u", page, 8), (4, "u", "<<<p>a</b", 9)]
     got = html_content.extract(spark.createDataFrame(rows, "page_id long, url string, html string, N_Chars int"))
     texts = [(row.page_id, row.text, row.n_chars) for row in got.collect()]
-    want = "A & B\nFirst bold words of a long enough text, with a stop.\nSecond é text that goes on."
+    want = "A & B\n\nFirst bold words of a long enough text, with a stop.\n\nSecond é text that goes on."
     assert texts[:4] == [(1, want, len(want)), (2, "", 0), (3, "", 0), (3, want, len(want))]
 
 

@@ -341,7 +341,7 @@ def labelled_pages() -> list[str]:
 
 
 def content_of(model: TreeModel, sources: list[str], least: float = 0.5) -> list[str]:
-    """The content blocks of each page in order, a line each."""
+    """The content blocks of each page in order, with an empty line between two."""
     nodes = Nodes()
     for number, source in enumerate(sources):
         parse(source, number, nodes)
@@ -350,14 +350,14 @@ def content_of(model: TreeModel, sources: list[str], least: float = 0.5) -> list
     for at, text in enumerate(nodes.text):
         if text is not None and share[at] >= least:
             out[nodes.page[at]].append(text)
-    return ["\n".join(blocks) for blocks in out]
+    return ["\n\n".join(blocks) for blocks in out]
 
 
 def extract(pages: DataFrame, html: str = "html", text: str = "text", model: TreeModel | None = None) -> DataFrame:
     """``pages`` without ``html``, with ``text`` and ``n_chars``; columns of these names are replaced.
 
     Every page is read whole. A null or empty page, and one without content, has an empty
-    text; plain text without markup is content. All rows are kept and repeated pages give
+    text; plain text without markup is content. Blocks are joined by two line ends. All rows are kept and repeated pages give
     the same text. A block that the model takes for content is never cut.
     """
     rest = [name for name in pages.columns if name.lower() not in (html.lower(), text.lower(), "n_chars")]
