@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import string
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -12,6 +13,7 @@ from tripmill.llm import (
     decontaminate,
     html_content,
     language_id,
+    merkle_log,
     quality_fm,
     recurrent_lm,
     sentencepiece_codec,
@@ -19,6 +21,7 @@ from tripmill.llm import (
     suffix_dedup,
     warc,
 )
+from tripmill.llm.merkle_sql import manifest_sql
 from tripmill.llm.shared import fold_is, table, tokenizer_file
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -82,6 +85,17 @@ def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Proofs of all documents; of every third, by hash, the text is claimed in lower case."""
+    docs = table(spark, sf_dir, "documents")
+    fields = [F.col(name) for name in ("doc_id", "source", "lang", "n_chars", "text")]
+    lowered = F.translate("text", string.ascii_uppercase, string.ascii_lowercase)
+    altered = F.when(fold_is(F.col("doc_id"), 3, 0), merkle_log.leaf_digest([*fields[:-1], lowered]))
+    rows = docs.select("doc_id", "lang", merkle_log.leaf_digest(fields).alias("leaf"), altered.alias("claimed"))
+    manifest = merkle_log.build(rows, "doc_id", "lang", "leaf", "claimed")
+    return merkle_log.proofs(manifest, "doc_id")
+
+
 QUERIES: dict[str, Query] = {
     "op1_quality": op1_quality,
     "op2_embedding_dedup": op2_embedding_dedup,
@@ -93,10 +107,12 @@ QUERIES: dict[str, Query] = {
     "op8_suffix_dedup": op8_suffix_dedup,
     "op9_recurrent_lm": op9_recurrent_lm,
     "op10_decontaminate": op10_decontaminate,
+    "op12_merkle_manifest": op12_merkle_manifest,
 }
 
 #: DuckDB SQL, where it can express a query.
 ORACLE_SQL: dict[str, str] = {
+    "op12_merkle_manifest": manifest_sql(),
     "op7_warc": """
 WITH marked AS (
   SELECT page_id, coalesce(html, '') AS html FROM pages
