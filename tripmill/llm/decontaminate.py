@@ -11,6 +11,8 @@ from tripmill.llm.shared import free_name, settle
 
 SHINGLE = 5
 CONTAINMENT = 0.8
+#: Sketch values that the filter of the first scan may hold; 8 bytes each.
+IN_PLAN = 50_000
 
 
 _BLANKS = " \t\n\x0b\x0c\r"
@@ -59,6 +61,26 @@ def _sketches(items: DataFrame, containment: float) -> DataFrame:
     return sized.select("item", "n", "size_class", F.explode_outer(F.slice("hashes", F.lit(1), k)).alias("hash"))
 
 
+def _once(frame: DataFrame, value: Column, name: str, *others: str) -> DataFrame:
+    """``others`` and a value that is worked out once, whatever filter or lambda function reads it later."""
+    return frame.select(*others, F.explode_outer(F.array(value)).alias(name))
+
+
+def _with_hits(named: DataFrame, sketch: DataFrame) -> DataFrame:
+    """Documents that share a MinHash value with an item: ``doc``, ``doc_text`` and ``hits``, those values."""
+    hashed = _shingle_hashes(named, "doc_text")
+    values = [row["hash"] for row in sketch.select("hash").distinct().limit(IN_PLAN + 1).collect() if row["hash"] is not None]
+    if len(values) <= IN_PLAN:
+        shared = F.filter("hashes", lambda value: value.isin(values)) if values else F.array().cast("array<bigint>")
+        return _once(hashed, F.array_distinct(shared), "hits", "doc", "doc_text").where(F.size("hits") > 0)
+    top = sketch.agg(F.max("hash")).first()[0]
+    low = hashed.select("doc", "doc_text", F.filter("hashes", lambda value: value <= F.lit(top).cast("long")).alias("hashes"))
+    marked = low.withColumn("at", F.xxhash64("doc", "doc_text"))
+    shared = marked.select("at", F.explode_outer("hashes").alias("hash")).join(sketch.select("hash").distinct(), "hash", "left_semi")
+    hits = shared.groupBy("at").agg(F.collect_set("hash").alias("hits"))
+    return marked.join(hits, "at").select("doc", "doc_text", "hits")
+
+
 def contaminated(
     docs: DataFrame,
     items: DataFrame,
@@ -79,9 +101,9 @@ def contaminated(
     text is compared by itself and the best containment of a key and item counts.
     Empty tables give an empty result; further columns are ignored.
 
-    A document's shingles are filtered by the largest sketch value before they become
-    rows. Spark broadcasts the sketches only below its threshold and shuffles beyond it,
-    where adaptive execution splits a hot shingle.
+    Sketch values up to ``IN_PLAN`` are part of the first scan's own filter, which leaves the texts
+    that share one with an item; these alone are written to the shared folder and compared. A larger
+    sketch is joined with the shingles, and adaptive execution splits a hot shingle.
     """
     items = settle(
         items.select(items[item_key].alias("item"), items[item_text].alias("item_text"))
@@ -90,36 +112,38 @@ def contaminated(
         "items",
     )
     sketch = settle(_sketches(items, containment), "sketches")
-    top = sketch.agg(F.max("hash")).first()[0]
     named = docs.select(docs[key].alias("doc"), docs[text].alias("doc_text")).where("doc is not null")
-    hashed = _shingle_hashes(named, "doc_text").select(
-        "doc", F.filter("hashes", lambda value: value <= F.lit(top).cast("long")).alias("hashes")
-    )
-    candidates = settle(
+    hit = settle(_with_hits(named, sketch).withColumn("row", F.monotonically_increasing_id()), "hit")
+    candidates = (
         # Not the inner form: its filter would be pushed below and work out every array anew for each value.
-        hashed.select("doc", F.explode_outer("hashes").alias("hash"))
+        hit.select("row", F.explode_outer("hits").alias("hash"))
         .join(sketch.select("item", "hash", "size_class"), "hash")
-        .select("doc", "item", "size_class")
-        .distinct(),
-        "candidates",
-    )
-    chosen = candidates.groupBy("doc").agg(F.collect_list(F.struct("item", "size_class")).alias("asked"))
-    texts = named.join(chosen, "doc").select(
-        "doc", "asked", _words(F.col("doc_text")).alias("words")
-    )
-    held = texts.select("doc", "asked", _shingle_texts("words").alias("held"))
-    pairs = held.select("doc", "held", F.explode_outer("asked").alias("asked")).select(
-        "doc", "held", "asked.item", "asked.size_class"
+        .select("row", "item", "size_class")
+        .distinct()
     )
     wanted = items.select("item", _words(F.col("item_text")).alias("item_words")).select(
         "item", _shingle_texts("item_words").alias("wanted")
     )
-    found = pairs.join(wanted, "item").select(
-        F.col("doc").alias(key),
-        F.col("item").alias(item_key),
-        "size_class",
-        F.size("wanted").alias("n_shingles"),
-        F.size(F.array_intersect("wanted", "held")).alias("n_found"),
+    # A document's shingles are made once, beside all the items that are asked of it.
+    asked = candidates.join(wanted, "item").groupBy("row").agg(F.collect_list(F.struct("item", "size_class", "wanted")).alias("asked"))
+    worded = hit.select("row", "doc", _words(F.col("doc_text")).alias("words")).join(asked, "row")
+    held = _once(worded, _shingle_texts("words"), "held", "doc", "asked")
+    compared = held.select(
+        "doc",
+        F.explode_outer(
+            F.transform(
+                "asked",
+                lambda a: F.struct(
+                    a["item"].alias("item"),
+                    a["size_class"].alias("size_class"),
+                    F.size(a["wanted"]).alias("n_shingles"),
+                    F.size(F.array_intersect(a["wanted"], F.col("held"))).alias("n_found"),
+                ),
+            )
+        ).alias("found"),
+    )
+    found = compared.select(
+        F.col("doc").alias(key), F.col("found.item").alias(item_key), "found.size_class", "found.n_shingles", "found.n_found"
     )
     best = found.groupBy(key, item_key).agg(
         F.max_by(F.struct("size_class", "n_shingles", "n_found"), F.col("n_found") / F.col("n_shingles")).alias("best")
