@@ -14,6 +14,7 @@ from tripmill.llm import (
     html_content,
     language_id,
     merkle_log,
+    piecewise_hash,
     quality_fm,
     recurrent_lm,
     sentencepiece_codec,
@@ -85,6 +86,10 @@ def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op11_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return piecewise_hash.edited_by_next(table(spark, sf_dir, "documents"))
+
+
 def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Proofs of all documents; of every third, by hash, the text is claimed in lower case."""
     docs = table(spark, sf_dir, "documents")
@@ -107,6 +112,7 @@ QUERIES: dict[str, Query] = {
     "op8_suffix_dedup": op8_suffix_dedup,
     "op9_recurrent_lm": op9_recurrent_lm,
     "op10_decontaminate": op10_decontaminate,
+    "op11_fingerprints": op11_fingerprints,
     "op12_merkle_manifest": op12_merkle_manifest,
 }
 
