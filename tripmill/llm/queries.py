@@ -13,6 +13,7 @@ from tripmill.llm import (
     decontaminate,
     html_content,
     language_id,
+    lexical_search,
     merkle_log,
     piecewise_hash,
     quality_fm,
@@ -101,6 +102,10 @@ def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merkle_log.proofs(manifest, "doc_id")
 
 
+def op13_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical_search.rank(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_quality": op1_quality,
     "op2_embedding_dedup": op2_embedding_dedup,
@@ -114,6 +119,7 @@ QUERIES: dict[str, Query] = {
     "op10_decontaminate": op10_decontaminate,
     "op11_fingerprints": op11_fingerprints,
     "op12_merkle_manifest": op12_merkle_manifest,
+    "op13_lexical_search": op13_lexical_search,
 }
 
 #: DuckDB SQL, where it can express a query.
@@ -157,5 +163,33 @@ SELECT doc_id, item_id, CAST(floor(log2(n)) AS INTEGER) AS size_class, CAST(n AS
   CAST(n_found AS INTEGER) AS n_found, n_found / n AS containment
 FROM found JOIN sizes USING (item_id)
 WHERE n_found >= 0.8 * n - 1e-9
+""",
+    "op13_lexical_search": """
+WITH doc_terms AS (
+  SELECT doc_id, regexp_extract_all(
+    translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+') AS terms
+  FROM documents
+), sized AS (
+  SELECT doc_id, terms, len(terms) AS n FROM doc_terms WHERE len(terms) > 0
+), totals AS (
+  SELECT count(*) AS n_docs, CAST(sum(n) AS BIGINT) AS n_terms FROM sized
+), held AS (
+  SELECT doc_id, n, term, count(*) AS tf FROM (SELECT doc_id, n, unnest(terms) AS term FROM sized) GROUP BY ALL
+), asked AS (
+  SELECT DISTINCT item_id, unnest(regexp_extract_all(
+    translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+')) AS term
+  FROM benchmark
+), weights AS (
+  SELECT term, CAST(floor(1000 * ln((2 * max(n_docs) + 2) / (2 * count(*) + 1))) AS BIGINT) AS w
+  FROM held, totals GROUP BY term
+), scores AS (
+  SELECT item_id, doc_id, CAST(sum(w * ((1000000000 * tf) // (1000 * tf + 20 * (50 + (50 * n * n_docs) // n_terms)))) AS BIGINT) AS score
+  FROM asked JOIN held USING (term) JOIN weights USING (term), totals GROUP BY item_id, doc_id
+), ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS place FROM scores WHERE score > 0
+)
+SELECT item_id, CAST(place AS INTEGER) AS rank, doc_id, score FROM ranked WHERE place <= 50
 """,
 }
