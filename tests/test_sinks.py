@@ -26,7 +26,9 @@ from recording_store import (
     register_file_store,
     write_report,
 )
-from tripmill.sinks.keyed_table import read_items, write_items, write_sizes
+from tripmill import storage
+from tripmill.sinks import keyed_table
+from tripmill.sinks.keyed_table import compact, read_items, remove_old, write_items, write_sizes
 from tripmill.sinks.keyed import cut_batches, register_keyed_sink, with_retry, write_keyed
 
 SMALL = "/root/testdata/sf0.001"
@@ -346,6 +348,87 @@ def test_a_keyed_table_merges_writes_and_columns(spark):
         write_items(spark.createDataFrame([(None, "a")], "k int, v string"), folder, ["k"])
 
 
+def test_a_write_takes_the_next_number_and_none_twice(spark):
+    folder = new_folder(spark, "items")
+    first = spark.createDataFrame([(1, 5)], "k int, put_order int")
+    assert [write_items(first, folder, ["k"]) for _ in range(3)] == [0, 1, 2]
+    with pytest.raises(ValueError, match="already"):
+        write_items(first, folder, ["k"], write=1)
+    assert read_items(spark, folder, ["k"]).collect() == [(1, 5)]
+    with pytest.raises(ValueError, match="no keyed table"):
+        read_items(spark, new_folder(spark, "none"), ["k"])
+    write_items(spark.createDataFrame([(1, "x")], "k int, put_order string"), folder, ["k"])
+    with pytest.raises(ValueError, match="put_order was written as int and string"):
+        read_items(spark, folder, ["k"])
+
+
+def test_a_lost_write_does_not_count(spark):
+    folder = new_folder(spark, "items")
+    write_items(spark.createDataFrame([(1, "a")], "k int, v string"), folder, ["k"])
+    with pytest.raises(Exception, match="a key is null"):
+        write_items(spark.createDataFrame([(k, "b") for k in range(9)] + [(None, "b")], "k int, v string").repartition(3), folder, ["k"])
+    spark.createDataFrame([(1, "c")], "k int, v string").write.parquet(f"{folder}/__write=w-lost")
+    assert read_items(spark, folder, ["k"]).collect() == [(1, "a")]
+
+
+def written_at_random(spark, folder, n_writes, state):
+    for n in range(n_writes):
+        rows = [(k, f"user {k % 3}", f"{n} {k}") for k in range(n, 60, n + 1)]
+        state.update({r[:2]: r[2] for r in rows})
+        write_items(spark.createDataFrame(rows, "k int, `u.ser` string, v string"), folder, ["k", "u.ser"])
+
+
+def state_of(items):
+    return {(r[0], r[1]): r[2] for r in items.collect()}
+
+
+def test_compaction_and_newer_writes(spark, monkeypatch):
+    folder, keys, state = new_folder(spark, "items"), ["k", "u.ser"], {}
+    written_at_random(spark, folder, 5, state)
+    assert state_of(read_items(spark, folder, keys)) == state
+    compact(spark, folder, keys, bucket_bytes=3000)
+    files = read_items(spark, folder, keys).inputFiles()
+    assert len(files) > 1 and all("/base-" in f for f in files)
+    assert state_of(read_items(spark, folder, keys)) == state
+    written_at_random(spark, folder, 2, state)
+    read = read_items(spark, folder, keys)
+    assert state_of(read) == state and read.count() == len(state)
+    assert {"base" if "/base-" in f else "write" for f in read.inputFiles()} == {"base", "write"}
+    assert len({f for f in read.inputFiles() if "__write" in f}) <= 2 * 8
+
+    def lost(*_):
+        raise RuntimeError("driver lost")
+
+    before = sorted(read.inputFiles())
+    with monkeypatch.context() as patch:
+        patch.setattr(keyed_table, "_publish", lost)
+        with pytest.raises(RuntimeError):
+            compact(spark, folder, keys)
+    assert sorted(read_items(spark, folder, keys).inputFiles()) == before
+    compact(spark, folder, keys)
+    compact(spark, folder, keys)
+    remove_old(spark, folder)
+    assert len([e for e in storage.entries(spark, folder) if e.is_folder]) == 2  # one base and the log
+    assert state_of(read_items(spark, folder, keys)) == state
+    assert [r.n_rows for r in write_sizes(spark, folder).collect()] == [len(range(n, 60, n + 1)) for n in (0, 1, 2, 3, 4, 0, 1)]
+
+
+def test_wanted_keys_open_their_buckets_only(spark, capsys):
+    folder = new_folder(spark, "items")
+    items = spark.range(20_000).select(F.col("id").alias("k"), F.concat(F.lit("u"), F.col("id") % 7).alias("u"), F.rand(1).alias("v"))
+    write_items(items, folder, ["k", "u"])
+    compact(spark, folder, ["k", "u"], bucket_bytes=20_000)
+    write_items(spark.createDataFrame([(5, "u5", 2.0)], "k long, u string, v double"), folder, ["k", "u"])
+    wanted = [(5, "u5"), (6, "u6"), (7, "u1")]
+    found = read_items(spark, folder, ["k", "u"], wanted)
+    assert sorted((r.k, r.v == 2.0) for r in found.collect()) == [(5, True), (6, False)]
+    found.explain()
+    plan = capsys.readouterr().out
+    assert "PartitionFilters: [" in plan and "__bucket" in plan.split("PartitionFilters: [")[1][:300]
+    n_buckets = len([e for e in storage.entries(spark, folder + "/" + next(e.name for e in storage.entries(spark, folder) if e.name.startswith("base-"))) if e.is_folder])
+    assert n_buckets > 5
+
+
 def test_null_keys_are_equal_in_an_upsert(spark):
     old = spark.createDataFrame([(None, 1), (1, 1)], "k int, v int")
     new = spark.createDataFrame([(None, 2)], "k int, v int")

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import threading
+from concurrent.futures import ThreadPoolExecutor
 from pathlib import Path
 from types import SimpleNamespace
 
@@ -11,10 +13,10 @@ from pyspark.sql.types import IntegerType, StringType, StructField, StructType
 
 from tripmill.fixed_values import MONTHS
 from tripmill.session import new_folder
+from tripmill.sources.copies import MANIFEST, DamagedCopy, parquet_if_absent, read_manifest
 from tripmill.sources.files import (
     TRIP_SCHEMA,
     month_paths,
-    parquet_if_absent,
     read_csv,
     split_rejected,
     union_by_position,
@@ -77,17 +79,57 @@ def test_parquet_copy_is_built_once(spark):
     assert built == [1]
 
 
-def test_data_without_a_marker_stays(spark, tmp_path):
+def test_half_a_copy_raises_or_is_rebuilt(spark, tmp_path):
     path = tmp_path / "copy"
-    spark.range(3).write.parquet(str(path))
-    (path / "_SUCCESS").unlink()
-    assert parquet_if_absent(spark, str(path), lambda: spark.range(10)).count() == 3
+    ten = lambda: spark.range(10, numPartitions=4)
+    assert parquet_if_absent(spark, str(path), ten).count() == 10
+    folder = path / read_manifest(spark, str(path))["folder"]
+    (folder / "_SUCCESS").unlink()
+    assert parquet_if_absent(spark, str(path), ten).count() == 10  # the manifest is what counts
+    next(folder.glob("part-*.parquet")).unlink()
+    with pytest.raises(DamagedCopy, match="missing"):
+        parquet_if_absent(spark, str(path), ten)
+    assert parquet_if_absent(spark, str(path), lambda: spark.range(7), rebuild=True).count() == 7
+    assert parquet_if_absent(spark, str(path), ten).count() == 7
+    added = path / read_manifest(spark, str(path))["folder"] / "part-99.parquet"
+    added.write_bytes(next(folder.glob("part-*.parquet")).read_bytes())
+    with pytest.raises(DamagedCopy, match="part-99"):
+        parquet_if_absent(spark, str(path), ten)
+
+
+def test_a_build_that_was_lost_is_as_good_as_none(spark, tmp_path):
+    path = tmp_path / "copy"
+    with pytest.raises(Exception, match="lost"):
+        parquet_if_absent(spark, str(path), lambda: spark.range(10).select(F.raise_error(F.lit("lost")).alias("id")))
+    spark.range(5).write.parquet(str(path / "copy-of-a-lost-driver"))
+    (path / "_temporary").mkdir()
+    assert parquet_if_absent(spark, str(path), lambda: spark.range(3)).count() == 3
+    assert read_manifest(spark, str(path))["rows"] == 3
+
+
+def test_builders_at_once_give_one_copy(spark, tmp_path):
+    path, start = str(tmp_path / "copy"), threading.Barrier(4)
 
+    def build(n):
+        start.wait()
+        return spark.range(n)
 
-def test_a_folder_without_parquet_raises(spark, tmp_path):
-    (tmp_path / "copy" / "_temporary").mkdir(parents=True)
-    with pytest.raises(Exception, match="(?i)infer"):
-        parquet_if_absent(spark, str(tmp_path / "copy"), lambda: spark.range(10))
+    with ThreadPoolExecutor(4) as pool:
+        counts = list(pool.map(lambda n: parquet_if_absent(spark, path, lambda: build(n)).count(), (5, 6, 7, 8)))
+    assert set(counts) == {read_manifest(spark, path)["rows"]}
+
+
+def test_what_others_have_written(spark, tmp_path):
+    path = tmp_path / "copy"
+    spark.range(3).withColumn("day", F.lit("a b")).write.partitionBy("day").parquet(str(path))
+    assert parquet_if_absent(spark, str(path), lambda: spark.range(10)).count() == 3
+    assert (path / MANIFEST).exists()
+    half = tmp_path / "half"
+    spark.range(3).write.parquet(str(half))
+    (half / "_SUCCESS").unlink()
+    with pytest.raises(DamagedCopy, match="_SUCCESS"):
+        parquet_if_absent(spark, str(half), lambda: spark.range(10))
+    assert parquet_if_absent(spark, str(half), lambda: spark.range(10), rebuild=True).count() == 10
 
 
 def test_values_that_do_not_parse_fail_or_are_told(spark, tmp_path):

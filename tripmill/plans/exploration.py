@@ -26,7 +26,7 @@ from tripmill.operators.clean import (
     trim_text,
     with_ride_length,
 )
-from tripmill.sources.files import parquet_if_absent
+from tripmill.sources.copies import parquet_if_absent
 
 DEFAULT = TripRules()
 

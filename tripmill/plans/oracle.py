@@ -251,4 +251,10 @@ ORACLE_SQL: dict[str, str] = {
     "keyed_sink_read_back": LATEST_EVENTS,
     "store_trips_read_back": f"WITH {STORED} SELECT * FROM stored",
     "keyed_sink_progress": "SELECT count(*) AS n_rows FROM events",
+    "keyed_compacted_read_back": """
+        SELECT * EXCLUDE (place) FROM (
+          SELECT *, row_number() OVER (PARTITION BY user_id, event_type
+            ORDER BY CASE WHEN value >= 20 THEN 2 WHEN value >= 5 THEN 1 ELSE 0 END DESC, event_id DESC) AS place
+          FROM events)
+        WHERE place = 1""",
 }

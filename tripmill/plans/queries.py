@@ -19,8 +19,9 @@ from tripmill.plans import exploration as ex
 from tripmill.plans.derived_trips import derived_trips
 from tripmill.plans.preparation import ID_KEYED, TEXT_ITEMS, keyed_trips, store_items
 from tripmill.session import new_folder
-from tripmill.sinks.keyed_table import read_items, write_items, write_sizes
-from tripmill.sources.files import parquet_if_absent, read_csv, union_by_position
+from tripmill.sinks.keyed_table import compact, read_items, write_items, write_sizes
+from tripmill.sources.copies import parquet_if_absent
+from tripmill.sources.files import read_csv, union_by_position
 from tripmill.sources.tables import query_view, read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -250,6 +251,17 @@ def keyed_upsert_read_back(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_items(spark, folder, _EVENT_KEYS)
 
 
+def keyed_compacted_read_back(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two writes, a compaction of them, and a write over the compacted items."""
+    folder, events = new_folder(spark, "store"), _table(spark, sf_dir, "events")
+    size = F.coalesce(F.col("value"), F.lit(0.0))
+    for part in (size < 5, (size >= 5) & (size < 20)):
+        write_items(events.filter(part), folder, _EVENT_KEYS, ("event_id",))
+    compact(spark, folder, _EVENT_KEYS)
+    write_items(events.filter(size >= 20), folder, _EVENT_KEYS, ("event_id",))
+    return read_items(spark, folder, _EVENT_KEYS)
+
+
 def store_trips_read_back(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The whole job: clean, number, key, write, read the store back."""
     folder, keys = new_folder(spark, "store"), TEXT_ITEMS.store_keys
@@ -315,4 +327,5 @@ QUERIES: dict[str, Query] = {
     "keyed_sink_read_back": keyed_sink_read_back,
     "store_trips_read_back": store_trips_read_back,
     "keyed_sink_progress": keyed_sink_progress,
+    "keyed_compacted_read_back": keyed_compacted_read_back,
 }
