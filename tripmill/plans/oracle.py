@@ -147,7 +147,54 @@ SELECT * EXCLUDE (place) FROM (
   FROM events
 ) WHERE place = 1"""
 
+#: Orders by month, changed in some months as the uneven files are.
+UNEVEN = """months AS (
+  SELECT *, coalesce(lpad(CAST(month(o_orderdate) AS VARCHAR), 2, '0'), '00') AS month FROM orders
+), uneven AS (
+  SELECT month,
+    CASE WHEN month = '03' THEN 'K' || o_orderkey ELSE CAST(o_orderkey AS VARCHAR) END AS o_orderkey,
+    CASE WHEN month = '09' THEN o_custkey + 5000000000 ELSE o_custkey END AS o_custkey, o_orderstatus,
+    CASE WHEN month = '05' THEN floor(o_totalprice) ELSE o_totalprice END AS o_totalprice,
+    CASE WHEN month = '07' THEN date_trunc('day', o_orderdate) ELSE o_orderdate END AS o_orderdate,
+    CASE WHEN month = '11' THEN NULL ELSE o_orderpriority END AS o_orderpriority
+  FROM months
+)"""
+_AS_TEXT = """CASE column_name
+  WHEN 'o_totalprice' THEN CASE WHEN month = '05' THEN CAST(CAST(CAST(value AS DOUBLE) AS BIGINT) AS VARCHAR) ELSE value END
+  WHEN 'o_orderdate' THEN CASE WHEN month = '07' THEN left(value, 10) ELSE value END
+  ELSE value END"""
+
 ORACLE_SQL: dict[str, str] = {
+    "csv_inferred_types": f"""WITH {UNEVEN}, cells AS (
+          SELECT month, column_name, {_AS_TEXT} AS v FROM (
+            SELECT month, o_orderkey, CAST(o_custkey AS VARCHAR) AS o_custkey, o_orderstatus,
+              CAST(o_totalprice AS VARCHAR) AS o_totalprice, CAST(o_orderdate AS VARCHAR) AS o_orderdate,
+              o_orderpriority FROM uneven
+          ) UNPIVOT INCLUDE NULLS (value FOR column_name IN
+            (o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderdate, o_orderpriority))
+        )
+        SELECT month, column_name, count(v) AS n_values, CASE WHEN count(v) = 0 THEN NULL
+          WHEN bool_and(regexp_full_match(v, '0|-?[1-9][0-9]*') AND TRY_CAST(v AS INTEGER) IS NOT NULL) THEN 'int'
+          WHEN bool_and(regexp_full_match(v, '0|-?[1-9][0-9]*') AND TRY_CAST(v AS BIGINT) IS NOT NULL) THEN 'bigint'
+          WHEN bool_and(regexp_full_match(v, '-?(0|[1-9][0-9]*)([.][0-9]+)?([eE][-+]?[0-9]+)?')) THEN 'double'
+          WHEN bool_and(regexp_full_match(v, '[0-9]{{4}}-[0-9]{{2}}-[0-9]{{2}}') AND TRY_CAST(v AS DATE) IS NOT NULL) THEN 'date'
+          WHEN bool_and(regexp_full_match(v, '[0-9]{{4}}-[0-9]{{2}}-[0-9]{{2}}.*') AND TRY_CAST(v AS TIMESTAMP) IS NOT NULL) THEN 'timestamp_ntz'
+          ELSE 'string' END AS data_type
+        FROM cells GROUP BY month, column_name""",
+    "csv_inferred_read": f"WITH {UNEVEN} SELECT * EXCLUDE (month) FROM uneven",
+    "month_coverage": """
+        WITH asked AS (
+          SELECT lpad(CAST(m AS VARCHAR), 2, '0') AS month FROM range(1, 13) t(m)
+        ), found AS (
+          SELECT lpad(CAST(month(o_orderdate) AS VARCHAR), 2, '0') AS month, count(*) AS n_rows,
+            count(*) FILTER (o_orderkey % 50 = 0) AS n_rejected,
+            count(o_orderkey) + count(o_custkey) + count(o_orderstatus) + count(o_orderdate) + count(o_orderpriority)
+              + count(o_totalprice) FILTER (o_orderkey % 50 <> 0) AS n_values
+          FROM orders WHERE month(o_orderdate) NOT IN (4, 8) GROUP BY 1
+        )
+        SELECT month, CASE WHEN month = '04' THEN 'missing' WHEN n_rows IS NULL THEN 'empty' ELSE 'read' END AS state,
+          coalesce(n_rows, 0) AS n_rows, coalesce(n_rejected, 0) AS n_rejected, coalesce(n_values, 0) AS n_values
+        FROM asked LEFT JOIN found USING (month)""",
     "trips_source": f"WITH {TRIPS} SELECT * FROM trips",
     "whitespace_rows": f"""WITH {TRIPS}, flagged AS (SELECT *, {FLAGS} FROM trips)
         SELECT * FROM flagged WHERE {ANY_FLAG}""",

@@ -5,7 +5,7 @@ from __future__ import annotations
 import uuid
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tripmill.fixed_values import REPAIR_STATION, RESCUED_COLUMN, TEST_WORD
@@ -21,7 +21,8 @@ from tripmill.plans.preparation import ID_KEYED, TEXT_ITEMS, keyed_trips, store_
 from tripmill.session import new_folder
 from tripmill.sinks.keyed_table import compact, read_items, write_items, write_sizes
 from tripmill.sources.copies import parquet_if_absent
-from tripmill.sources.files import read_csv, union_by_position
+from tripmill.sources.files import month_paths, path_coverage, read_csv, union_by_position
+from tripmill.sources.inference import file_types, read_inferred, read_text, type_name
 from tripmill.sources.tables import query_view, read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -148,6 +149,54 @@ def csv_rejected_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _uneven_months(spark: SparkSession, sf_dir: str) -> list[str]:
+    """Orders as monthly CSV files, in some of which a column looks otherwise than in the rest."""
+    folder, orders = new_folder(spark, "csv"), _by_month(spark, sf_dir)
+
+    def only_in(month: str, changed: str, name: str) -> Column:
+        return F.when(F.col("month") == month, F.expr(changed)).otherwise(F.col(name).cast("string"))
+
+    uneven = orders.withColumns(
+        {
+            "o_orderkey": only_in("03", "concat('K', o_orderkey)", "o_orderkey"),
+            "o_custkey": only_in("09", "CAST(o_custkey + 5000000000 AS STRING)", "o_custkey"),
+            "o_totalprice": only_in("05", "CAST(CAST(floor(o_totalprice) AS BIGINT) AS STRING)", "o_totalprice"),
+            "o_orderdate": only_in("07", "date_format(o_orderdate, 'yyyy-MM-dd')", "o_orderdate"),
+            "o_orderpriority": only_in("11", "CAST(NULL AS STRING)", "o_orderpriority"),
+        }
+    )
+    uneven.write.partitionBy("month").csv(folder, header=True)
+    return [f"{folder}/month={m}" for m in _months_of(orders)]
+
+
+def csv_inferred_types(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The type that each month's values alone would have, whatever number of files holds them."""
+    files = file_types(read_text(spark, _uneven_months(spark, sf_dir)))
+    month = F.regexp_extract("file", "month=([0-9]+)", 1)
+    merged = files.groupBy(month.alias("month"), "column_name").agg(
+        F.sum("n_values").alias("n_values"), type_name(F.bit_and("bits")).alias("data_type")
+    )
+    return merged
+
+
+def csv_inferred_read(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same months under the one schema that all their values fit."""
+    return read_inferred(spark, _uneven_months(spark, sf_dir))
+
+
+def month_coverage(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Twelve asked months: one was never written, one is empty, some rows can't be read."""
+    folder, orders = new_folder(spark, "csv"), _by_month(spark, sf_dir)
+    price = F.when(F.col("o_orderkey") % 50 == 0, F.lit("41,1")).otherwise(F.col("o_totalprice").cast("string"))
+    written = orders.withColumn("o_totalprice", price).filter(~F.col("month").isin("04", "08"))
+    written.write.options(**_MICROSECONDS).partitionBy("month").csv(folder, header=True)
+    orders.drop("month").limit(0).write.csv(f"{folder}/month=08", header=True)
+    asked = month_paths(folder, 2022, pattern="month={month}")
+    found = path_coverage(spark, asked, orders.drop("month").schema, **_MICROSECONDS)
+    month = F.regexp_extract("path", "month=([0-9]+)", 1).alias("month")
+    return found.select(month, "state", "n_rows", "n_rejected", "n_values")
+
+
 def drop_nulls_keep_nan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Events of which some values are turned into null and some into NaN: the latter stay."""
     value = F.when(F.col("event_id") % 5 == 0, F.lit(None)).when(
@@ -313,6 +362,9 @@ QUERIES: dict[str, Query] = {
     "union_months": union_months,
     "csv_round_trip": csv_round_trip,
     "csv_rejected_rows": csv_rejected_rows,
+    "csv_inferred_types": csv_inferred_types,
+    "csv_inferred_read": csv_inferred_read,
+    "month_coverage": month_coverage,
     "drop_nulls_keep_nan": drop_nulls_keep_nan,
     "lookup_checks": lookup_checks,
     "shortest_kept_rides_top6": shortest_kept_rides,

@@ -28,6 +28,12 @@ def _is(error: Py4JJavaError, name: str) -> bool:
     return error.java_exception.getClass().getName().endswith(name)
 
 
+def qualified(spark: SparkSession, path: str) -> str:
+    """The whole URI of a path, as Spark tells it for the files it reads."""
+    at, files = _path(spark, path)
+    return files.makeQualified(at).toUri().toString()
+
+
 def exists(spark: SparkSession, path: str) -> bool:
     at, files = _path(spark, path)
     return files.exists(at)
