@@ -29,7 +29,7 @@ from recording_store import (
 from tripmill import storage
 from tripmill.sinks import keyed_table
 from tripmill.sinks.keyed_table import compact, read_items, remove_old, write_items, write_sizes
-from tripmill.sinks.keyed import cut_batches, register_keyed_sink, with_retry, write_keyed
+from tripmill.sinks.keyed import batches_to_put, cut_batches, dealt_by_batch, register_keyed_sink, with_retry, write_keyed
 
 SMALL = "/root/testdata/sf0.001"
 
@@ -125,10 +125,10 @@ def test_written_rows_are_read_back_and_counted(spark, store):
 
 
 def test_batches_follow_the_row_numbers(spark, store):
-    """500 + 500 rows: batch 2 is cut by the partition edge, the others are not."""
+    """500 + 500 rows: the partition edge cuts no batch."""
     df = spark.range(1, 1001, numPartitions=2).withColumnRenamed("id", "row_number")
     report = put(df, store, ["row_number"], number="row_number")
-    assert report["rows"] == 1000 and report["batches"] == 5
+    assert report["rows"] == 1000 and report["batches"] == 4
 
 
 def test_a_later_write_replaces_and_a_repeated_one_changes_nothing(spark, store):
@@ -256,6 +256,18 @@ print("REPORT", write_report(path, 1)["rows"])
     assert "REPORT 2000" in out
 
 
+@pytest.mark.parametrize("n, partitions, tasks", [(1000, 7, 3), (1000, 1, 8), (900, 16, None), (1, 1, 5), (0, 2, 2), (301, 300, 1)])
+def test_numbered_rows_are_put_in_exact_batches(spark, store, n, partitions, tasks):
+    df = spark.range(1, n + 1).withColumnRenamed("id", "row number").repartition(partitions)
+    number = next_write()
+    write_keyed(df, SINK_NAME, ["row number"], 300, "row number", tasks, path=store, writeNumber=number)
+    report = write_report(store, number)
+    assert report["rows"] == n and report["batches"] == -(-n // 300)
+    puts = batches_to_put(dealt_by_batch(df, "row number", 300, tasks), "row number", 300).collect()
+    assert sorted(r.first_row for r in puts) == list(range(1, n + 1, 300))
+    assert all(r.n_rows == r.last_row - r.first_row + 1 <= 300 for r in puts)
+
+
 def test_latest_by_key_and_its_plan(spark, capsys):
     events = spark.read.parquet("/root/testdata/sf0.01/events.parquet")
     latest = latest_by_key(events, ("user_id", "event_type"), ("event_id",))

@@ -255,6 +255,9 @@ ORACLE_SQL: dict[str, str] = {
         SELECT CAST((row_number - 1) // 300 + 1 AS BIGINT) AS batch, count(*) AS n_rows,
           min(row_number) AS first_row, max(row_number) AS last_row
         FROM keyed GROUP BY 1""",
+    "batches_put": f"""WITH {KEYED}
+        SELECT count(*) AS n_rows, min(row_number) AS first_row, max(row_number) AS last_row
+        FROM keyed GROUP BY (row_number - 1) // 300""",
     "store_text": f"WITH {STORED} SELECT * FROM stored",
     "row_range": """
         SELECT * FROM (

@@ -19,6 +19,7 @@ from tripmill.plans import exploration as ex
 from tripmill.plans.derived_trips import derived_trips
 from tripmill.plans.preparation import ID_KEYED, TEXT_ITEMS, keyed_trips, store_items
 from tripmill.session import new_folder
+from tripmill.sinks.keyed import batches_to_put, dealt_by_batch
 from tripmill.sinks.keyed_table import compact, read_items, write_items, write_sizes
 from tripmill.sources.copies import parquet_if_absent
 from tripmill.sources.files import month_paths, path_coverage, read_csv, union_by_position
@@ -99,6 +100,11 @@ def batches_300(spark: SparkSession, sf_dir: str) -> DataFrame:
     return batch_summary(number_rows(cleaned, ("started_at", "ride_id")))
 
 
+def batches_put(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The batches that the writer of a store cuts from the numbered trips, as its tasks get them."""
+    return batches_to_put(dealt_by_batch(keyed_trips(derived_trips(spark, sf_dir)), "row_number"), "row_number")
+
+
 def store_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return store_items(keyed_trips(derived_trips(spark, sf_dir), TEXT_ITEMS), TEXT_ITEMS)
 
@@ -355,6 +361,7 @@ QUERIES: dict[str, Query] = {
     "keyed_trips": lambda spark, sf_dir: keyed_trips(derived_trips(spark, sf_dir)),
     "keyed_by_id": keyed_by_id,
     "batches_300": batches_300,
+    "batches_put": batches_put,
     "store_text": store_text,
     "row_range": numbered_row_range,
     "row_count": row_count,

@@ -17,6 +17,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext, cloudpickle
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceArrowWriter, WriterCommitMessage
 
 from tripmill.fixed_values import (
@@ -25,6 +26,8 @@ from tripmill.fixed_values import (
     WRITE_DELAY_SECONDS,
     WRITE_TRIES,
 )
+from tripmill.functions.numbers import batch_number
+from tripmill.functions.text import column
 
 
 class StoreClient(Protocol):
@@ -200,19 +203,50 @@ def register_keyed_sink(spark: SparkSession, name: str, make_client: ClientFacto
     spark.dataSource.register(KeyedSink)
 
 
+def dealt_by_batch(
+    df: DataFrame, number: str, batch_rows: int = BATCH_ROWS, tasks: int | None = None
+) -> DataFrame:
+    """Whole batches of consecutive row numbers to a task each, in the order of the numbers.
+
+    Batch 1 is rows 1 to ``batch_rows``, and so on. They are dealt in turn to ``tasks`` tasks (by
+    default the session's number of shuffle partitions), so that no batch is cut by the edge of a task.
+    """
+    tasks = tasks or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    batch = batch_number(column(number), batch_rows)
+    dealt = df.repartitionById(tasks, F.pmod(batch, F.lit(tasks)).cast("int"))
+    return dealt.sortWithinPartitions(column(number))
+
+
+def batches_to_put(dealt: DataFrame, number: str, batch_rows: int = BATCH_ROWS) -> DataFrame:
+    """``n_rows``, ``first_row`` and ``last_row`` of each batch that the writer cuts from a frame."""
+    cloudpickle.register_pickle_by_value(sys.modules["tripmill"])
+
+    def cut(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in cut_batches(stream, batch_rows, number):
+            numbers = batch.column(number)
+            columns = [[batch.num_rows], [numbers[0].as_py()], [numbers[-1].as_py()]]
+            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], names=["n_rows", "first_row", "last_row"])
+
+    return dealt.select(column(number)).mapInArrow(cut, "n_rows bigint, first_row bigint, last_row bigint")
+
+
 def write_keyed(
     df: DataFrame,
     sink: str,
     keys: Sequence[str],
     batch_rows: int = BATCH_ROWS,
     number: str | None = None,
+    tasks: int | None = None,
     **options: str | int | float,
 ) -> None:
     """Write every row once to a registered sink, all partitions at the same time.
 
-    Rows of one key may be put in any order: reduce the frame with
-    ``latest_by_key`` first if it repeats keys.
+    With ``number``, the column of row numbers 1..N, the rows are put in exactly ceil(N /
+    ``batch_rows``) batches, see ``dealt_by_batch``. Rows of one key may be put in any order:
+    reduce the frame with ``latest_by_key`` first if it repeats keys.
     """
+    if number is not None:
+        df = dealt_by_batch(df, number, batch_rows, tasks)
     writer = df.write.format(sink).option("keys", ",".join(keys)).option("batchRows", batch_rows)
     if number is not None:
         writer = writer.option("numberColumn", number)
