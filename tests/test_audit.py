@@ -9,8 +9,10 @@ from datetime import datetime, timedelta
 import pytest
 from pyspark.sql import functions as F
 
+from tripmill.functions.text import any_of, has_outer_blanks, text_columns
 from tripmill.operators.audit import counts_where, find_rows
 from tripmill.operators.clean import clean_trips, long_rides
+from tripmill.operators.numbering import kept_in_between
 from tripmill.plans import exploration as ex
 from tripmill.plans.derived_trips import derived_trips
 from tripmill.session import new_folder
@@ -141,3 +143,60 @@ def test_cleaning_equals_the_rules_by_hand(spark):
     want = [r for r in map(by_hand, rows) if r is not None]
     assert len(want) > 100
     assert sorted((r.asDict() for r in got), key=lambda r: r["ride_id"]) == want
+
+
+def test_all_audits_at_once_equal_the_single_ones(spark, capsys):
+    trips = derived_trips(spark, "/root/testdata/sf0.001")
+    rides = long_rides(trips)
+    at_once = ex.audits_at_once(trips, 4).cache()
+    single = {
+        "rows with outer blanks": find_rows(trips, rows_with_outer_blanks_term(trips), ("ride_id",), limit=4),
+        "short rides": ex.short_rides(trips, 4),
+        "all-upper-case start names": ex.upper_start(rides, 4),
+        "start ids of the operator": ex.start_ids_with(rides, limit=4),
+        "all-upper-case end names": ex.upper_end(rides, 4),
+        "end stations of the operator": ex.ends_with_word(rides, limit=4),
+        "all-lower-case start names": ex.lower_start(rides, 4),
+        "all-lower-case end names": ex.lower_end(rides, 4),
+        "test stations": ex.test_stations(rides, 4),
+        "temporary stations": ex.temporary_stations(rides, 4),
+    }
+    for name, want in single.items():
+        got = at_once.filter(F.col("audit") == name).orderBy("place").select(*want.columns).collect()
+        assert got == want.collect() and got, name
+    assert {r.audit for r in at_once.select("audit").collect()} == {*single, "starred stations"}
+    at_once.unpersist()
+    ex.audits_at_once(trips, 4).explain()
+    plan = capsys.readouterr().out
+    assert plan.count("FileScan parquet") == 1 and "WindowGroupLimit" in plan
+
+
+def rows_with_outer_blanks_term(trips):
+    return any_of(has_outer_blanks(F.col(c)) for c in text_columns(trips))
+
+
+def test_audits_of_an_empty_table(spark):
+    assert ex.audits_at_once(derived_trips(spark, "/root/testdata/sf0.001").limit(0)).count() == 0
+
+
+def test_counts_of_a_written_job_need_no_other_job(spark, tmp_path):
+    trips = derived_trips(spark, "/root/testdata/sf0.001")
+    cleaned, counts = ex.counted_clean_trips(trips)
+    spark.sparkContext.setJobGroup("counted", "")
+    cleaned.write.parquet(str(tmp_path / "cleaned"))
+    found = counts.get
+    jobs = spark.sparkContext.statusTracker().getJobIdsForGroup("counted")
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert found == ex.step_counts(trips).first().asDict()
+    assert len(jobs) == 1
+    stored = spark.read.parquet(str(tmp_path / "cleaned"))
+    want = clean_trips(trips)
+    assert stored.columns == want.columns and stored.exceptAll(want).count() == 0 and stored.count() == found["cleaned"]
+
+
+def test_a_kept_frame_is_given_up_though_the_work_fails(spark):
+    frame = spark.range(5).withColumn("x", F.rand())
+    with pytest.raises(RuntimeError), kept_in_between(frame) as kept:
+        assert kept.is_cached and kept.count() == 5
+        raise RuntimeError
+    assert not frame.is_cached

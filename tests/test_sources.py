@@ -17,6 +17,7 @@ from tripmill.sources.copies import MANIFEST, DamagedCopy, parquet_if_absent, re
 from tripmill.sources.files import (
     TRIP_SCHEMA,
     month_paths,
+    path_coverage,
     read_csv,
     split_rejected,
     union_by_position,
@@ -169,3 +170,26 @@ def test_only_a_local_session_may_use_a_temporary_folder():
         new_folder(Session("spark://host:7077"), "x")
     assert new_folder(Session("spark://host:7077", "hdfs://h/c/"), "x").startswith("hdfs://h/c/tripmill/x-")
     assert "/run-" in new_folder(Session("local[4]"), "x")
+
+
+def test_coverage_names_what_is_missing_or_empty(spark, tmp_path):
+    base = tmp_path / "a dir"
+    base.mkdir()
+    for month in MONTHS[:3]:
+        write_month(base, month, "S1")
+    (base / "divvy_tripdata_202203.csv").write_text(HEADER + "\n")
+    bad = base / "divvy_tripdata_202202.csv"
+    bad.write_text(bad.read_text() + "r9,bike,yesterday,2022-02-01 00:10:00,A,B,C,D,1,2,3,4,member\n")
+    found = {r.path[-6:-4]: r for r in path_coverage(spark, month_paths(str(base), 2022)).collect()}
+    assert len(found) == 12
+    assert [(found[m].state, found[m].n_rows, found[m].n_rejected, found[m].n_files) for m in MONTHS[:4]] == [
+        ("read", 1, 0, 1), ("read", 2, 1, 1), ("empty", 0, 0, 0), ("missing", 0, 0, 0)
+    ]
+    assert found["01"].n_values == 13 and found["02"].n_values >= 13
+    none = path_coverage(spark, month_paths(str(tmp_path / "none"), 2022)).collect()
+    assert {r.state for r in none} == {"missing"} and len(none) == 12
+
+
+def test_a_union_of_nothing_raises(spark):
+    with pytest.raises(ValueError, match="no frame"):
+        union_by_position([])

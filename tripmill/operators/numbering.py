@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
+from contextlib import contextmanager, nullcontext
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, Window
@@ -19,6 +20,16 @@ _POSITION = "__position"
 _SHIFT = "__shift"
 
 
+@contextmanager
+def kept_in_between(df: DataFrame, level: StorageLevel = StorageLevel.MEMORY_AND_DISK) -> Iterator[DataFrame]:
+    """A frame that is persisted for the work inside and given up after it, also if that fails."""
+    kept = df.persist(level)
+    try:
+        yield kept
+    finally:
+        kept.unpersist()
+
+
 def number_rows(
     df: DataFrame,
     order_by: Sequence[str],
@@ -51,15 +62,13 @@ def number_rows(
     keys = [column(c) for c in order_by]
     target = [] if partitions is None else [partitions]
 
-    source = df.persist(persist) if persist is not None else df
-    ranges = (
-        source.repartitionByRange(*target, *keys)
-        .sortWithinPartitions(*keys)
-        .withColumns({_RUN: F.spark_partition_id(), _POSITION: F.monotonically_increasing_id()})
-    )
-    ranges.write.parquet(path)
-    if persist is not None:
-        source.unpersist()
+    with kept_in_between(df, persist) if persist is not None else nullcontext(df) as source:
+        ranges = (
+            source.repartitionByRange(*target, *keys)
+            .sortWithinPartitions(*keys)
+            .withColumns({_RUN: F.spark_partition_id(), _POSITION: F.monotonically_increasing_id()})
+        )
+        ranges.write.parquet(path)
 
     stored = spark.read.schema(ranges.schema).parquet(path)
     # One row per range, so never more than there are partitions, whatever the

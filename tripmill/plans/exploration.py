@@ -5,11 +5,19 @@ Audits end their order with the unique column of the rules, see ``find_rows``.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
 from tripmill.fixed_values import OPERATOR_WORD, TEMP_WORD, TEST_WORD
-from tripmill.functions.text import any_contains, column, is_all_lower, is_all_upper
+from tripmill.functions.text import (
+    any_contains,
+    any_of,
+    column,
+    has_outer_blanks,
+    is_all_lower,
+    is_all_upper,
+    text_columns,
+)
 from tripmill.operators.audit import (
     counts_where,
     find_rows,
@@ -22,6 +30,7 @@ from tripmill.operators.clean import (
     is_complete,
     is_public_ride,
     long_rides,
+    tidy_names,
     trim_and_complete,
     trim_text,
     with_ride_length,
@@ -138,21 +147,94 @@ def end_lookup(trips: DataFrame, station_id: str, rules: TripRules = DEFAULT) ->
     return find_rows(trips, column(rules.end_id) == station_id, (), columns)
 
 
+def _steps(rides: DataFrame, rules: TripRules) -> dict[str, Column]:
+    """By step, which trimmed trips with a length are left after it; ``short`` are those it drops."""
+    complete = is_complete(rides)
+    long = complete & (column(rules.ride_length) >= rules.min_seconds)
+    return {
+        "trips": F.lit(True),
+        "complete": complete,
+        "short": complete & (column(rules.ride_length) < rules.min_seconds),
+        "long": long,
+        "cleaned": long & is_public_ride(rules),
+    }
+
+
 def step_counts(trips: DataFrame, rules: TripRules = DEFAULT) -> DataFrame:
     """One row: how many trips are left after each cleaning step, in one pass."""
     rides = with_ride_length(trim_text(trips), rules)
-    complete = is_complete(rides)
+    return counts_where(rides, _steps(rides, rules))
+
+
+def counted_clean_trips(trips: DataFrame, rules: TripRules = DEFAULT) -> tuple[DataFrame, Observation]:
+    """The cleaned trips, and an observation that has the step counts once they are written.
+
+    The counts are taken from the rows of the job that writes them, at no other pass: ask
+    ``observation.get`` after the action. The action has to read the frame to its end and
+    once, so no limit, and no ``number_rows`` on top, which samples its input first.
+    """
+    rides = with_ride_length(trim_text(trips), rules)
+    steps, observation = _steps(rides, rules), Observation()
+    # Three-valued tests drop a row if they are null, and count_if passes over it alike.
+    seen = rides.observe(observation, *[F.count_if(left).alias(name) for name, left in steps.items()])
+    return tidy_names(seen.filter(steps["cleaned"]), rules), observation
+
+
+def audits_at_once(trips: DataFrame, rows: int = 6, rules: TripRules = DEFAULT) -> DataFrame:
+    """The first ``rows`` rows of every audit, by one scan of the trips.
+
+    ``audit``, ``place`` (from 1, in the audit's order) and the ride's columns with its
+    length, trimmed but in the audit of outer blanks. A row is tagged with a bit for each audit that
+    it belongs to, and a tagged row stands once for each of them. Each task keeps an audit's first rows
+    only, so what is shuffled is bounded by the number of tasks, whatever an audit finds.
+    Equal rows of an order follow the unique column of the rules, and so do audits without an order.
+    """
+    raw, blanks = "__raw_", "__blanks"
+    text = set(text_columns(trips))
+    outer = any_of(has_outer_blanks(column(c)) for c in text_columns(trips))
+    kept = [column(c).alias(f"{raw}{c}") for c in trips.columns if c in text]
+    both = trips.select(*[F.trim(column(c)).alias(c) if c in text else column(c) for c in trips.columns], *kept, outer.alias(blanks))
+    rides = with_ride_length(both, rules)
+    names = [*trips.columns, rules.ride_length]
+    complete = is_complete(rides.select(*[column(c) for c in trips.columns]))
     length = column(rules.ride_length)
-    return counts_where(
-        rides,
-        {
-            "trips": F.lit(True),
-            "complete": complete,
-            "short": complete & (length < rules.min_seconds),
-            "long": complete & (length >= rules.min_seconds),
-            "cleaned": complete & (length >= rules.min_seconds) & is_public_ride(rules),
-        },
-    )
+    long = complete & (length >= rules.min_seconds)
+    start, end = column(rules.start_name), column(rules.end_name)
+    stations = (rules.start_id, rules.start_name, rules.end_id, rules.end_name)
+    none = F.lit(None)
+    # name: rows, ascending order, descending order
+    audits = {
+        "rows with outer blanks": (column(blanks), none, none),
+        "short rides": (complete & (length < rules.min_seconds), length, none),
+        "all-upper-case start names": (long & is_all_upper(start), start, none),
+        "start ids of the operator": (long & any_contains([rules.start_id], OPERATOR_WORD, ignore_case=False), start, none),
+        "all-upper-case end names": (long & is_all_upper(end), start, none),
+        "end stations of the operator": (long & any_contains([rules.end_id, rules.end_name], OPERATOR_WORD, ignore_case=False), end, none),
+        "all-lower-case start names": (long & is_all_lower(start), start, none),
+        "all-lower-case end names": (long & is_all_lower(end), end, none),
+        "test stations": (long & any_contains(stations, TEST_WORD), none, end),
+        "temporary stations": (long & any_contains(stations, TEMP_WORD), start, none),
+        "starred stations": (long & any_contains(stations, "*"), none, none),
+    }
+    bits = sum((F.when(found, F.lit(1 << k)).otherwise(F.lit(0)) for k, (found, _, _) in enumerate(audits.values())), F.lit(0))
+    tagged = rides.withColumn("__bits", bits).filter("__bits <> 0")
+    belongs = [F.when(F.col("__bits").bitwiseAND(F.lit(1 << k)) != 0, F.lit(k)) for k in range(len(audits))]
+    each = tagged.withColumn("__audit", F.explode(F.array_compact(F.array(*belongs))))
+
+    def by_audit(values: list[Column], kind: str) -> Column:
+        chosen = F.lit(None).cast(kind)
+        for k, value in enumerate(values):
+            chosen = F.when(F.col("__audit") == k, value.cast(kind)).otherwise(chosen)
+        return chosen
+
+    by_length = F.when(F.col("__audit") == list(audits).index("short rides"), length)
+    rising = by_audit([none if name == "short rides" else up for name, (_, up, _) in audits.items()], "string")
+    falling = by_audit([down for _, _, down in audits.values()], "string")
+    order = Window.partitionBy("__audit").orderBy(by_length, rising, F.desc(falling), column(rules.tie_break))
+    first = each.withColumn("place", F.row_number().over(order)).filter(F.col("place") <= rows)
+    as_found = F.col("__audit") == list(audits).index("rows with outer blanks")
+    values = [F.when(as_found, column(f"{raw}{c}")).otherwise(column(c)).alias(c) if c in text else column(c) for c in names]
+    return first.select(by_audit([F.lit(name) for name in audits], "string").alias("audit"), "place", *values)
 
 
 def explore(

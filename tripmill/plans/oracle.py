@@ -164,7 +164,46 @@ _AS_TEXT = """CASE column_name
   WHEN 'o_orderdate' THEN CASE WHEN month = '07' THEN left(value, 10) ELSE value END
   ELSE value END"""
 
+_AUDITS = {
+    "short rides": ("short", "true", "ride_length"),
+    "all-upper-case start names": ("rides", "upper(start_station_name) = start_station_name", "start_station_name"),
+    "start ids of the operator": ("rides", "start_station_id LIKE '%DIVVY%'", "start_station_name"),
+    "all-upper-case end names": ("rides", "upper(end_station_name) = end_station_name", "start_station_name"),
+    "end stations of the operator": ("rides", "end_station_id LIKE '%DIVVY%' OR end_station_name LIKE '%DIVVY%'", "end_station_name"),
+    "all-lower-case start names": ("rides", "lower(start_station_name) = start_station_name", "start_station_name"),
+    "all-lower-case end names": ("rides", "lower(end_station_name) = end_station_name", "end_station_name"),
+    "test stations": ("rides", _stations_like("%test%"), "end_station_name DESC"),
+    "temporary stations": ("rides", _stations_like("%temp%"), "start_station_name"),
+    "starred stations": ("rides", _stations_like("%*%"), "1"),
+    "rows with outer blanks": ("blank", "true", "1"),
+}
+_AUDIT_ROWS = " UNION ALL ".join(
+    f"""SELECT '{name}' AS audit, * FROM (SELECT CAST(row_number() OVER (ORDER BY {order}, ride_id) AS INTEGER) AS place, *
+      FROM {source} WHERE {where}) WHERE place <= 6"""
+    for name, (source, where, order) in _AUDITS.items()
+)
+
 ORACLE_SQL: dict[str, str] = {
+    "written_step_counts": f"""WITH {CLEAN} SELECT
+        (SELECT count(*) FROM cleaned) AS stored,
+        (SELECT count(*) FROM trips) AS trips,
+        (SELECT count(*) FROM complete) AS complete,
+        (SELECT count(*) FROM complete WHERE ride_length < 60) AS short,
+        (SELECT count(*) FROM rides) AS long,
+        (SELECT count(*) FROM cleaned) AS cleaned""",
+    "audits_at_once": f"""WITH {RIDES}, short AS (SELECT * FROM complete WHERE ride_length < 60),
+        flagged AS (SELECT *, {FLAGS} FROM trips),
+        blank AS (SELECT * EXCLUDE ({", ".join(c + "_has_whitespace" for c in (
+            "start_station_name", "start_station_id", "end_station_name", "end_station_id", "member_type"))}),
+          CAST(floor(epoch(ended_at)) AS BIGINT) - CAST(floor(epoch(started_at)) AS BIGINT) AS ride_length
+          FROM flagged WHERE {ANY_FLAG})
+        {_AUDIT_ROWS}""",
+    "persisted_rides": f"WITH {RIDES} SELECT count(*) AS rides, count(DISTINCT member_type) AS members FROM rides",
+    "schema_of_trips": f"""WITH {TRIPS}, described AS ({" UNION ALL ".join(
+        f"SELECT {k} AS position, '{c}' AS column_name, '{kind}' AS data_type, count({c}) AS n_values FROM trips"
+        for k, (c, kind) in enumerate(zip(TRIP_COLUMNS, (
+            "bigint timestamp_ntz timestamp_ntz string string string string double double double double string"
+        ).split()), start=1))}) SELECT * FROM described""",
     "csv_inferred_types": f"""WITH {UNEVEN}, cells AS (
           SELECT month, column_name, {_AS_TEXT} AS v FROM (
             SELECT month, o_orderkey, CAST(o_custkey AS VARCHAR) AS o_custkey, o_orderstatus,

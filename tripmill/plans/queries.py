@@ -12,7 +12,7 @@ from tripmill.fixed_values import REPAIR_STATION, RESCUED_COLUMN, TEST_WORD
 from tripmill.functions.text import any_contains, contains_word
 from tripmill.operators import audit
 from tripmill.operators.clean import clean_trips, drop_incomplete, long_rides, trim_and_complete, trim_text
-from tripmill.operators.numbering import number_rows, row_range
+from tripmill.operators.numbering import kept_in_between, number_rows, row_range
 from tripmill.operators.store_form import batch_summary
 from tripmill.operators.upsert import latest_by_key, upsert
 from tripmill.plans import exploration as ex
@@ -203,6 +203,29 @@ def month_coverage(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select(month, "state", "n_rows", "n_rejected", "n_values")
 
 
+def written_step_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The step counts as the job that writes the cleaned trips has observed them, beside what it wrote."""
+    cleaned, counts = ex.counted_clean_trips(derived_trips(spark, sf_dir))
+    folder = new_folder(spark, "cleaned")
+    cleaned.write.parquet(folder)
+    stored = spark.read.parquet(folder).agg(F.count("*").alias("stored"))
+    return stored.withColumns({name: F.lit(n).cast("bigint") for name, n in counts.get.items()})
+
+
+def persisted_rides(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two counts from rides that are kept in between, and given up whether or not the work succeeds."""
+    with kept_in_between(long_rides(derived_trips(spark, sf_dir))) as rides:
+        counts = {"rides": rides.count(), "members": rides.select("member_type").distinct().count()}
+    return spark.createDataFrame([tuple(counts.values())], "rides bigint, members bigint")
+
+
+def schema_of_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The columns of the trips that a schema print shows, and how many values each has."""
+    trips = derived_trips(spark, sf_dir)
+    counts = trips.agg(*[F.count(c).alias(c) for c in trips.columns]).unpivot([], trips.columns, "column_name", "n_values")
+    return audit.schema_table(trips).join(counts, "column_name").select("position", "column_name", "data_type", "n_values")
+
+
 def drop_nulls_keep_nan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Events of which some values are turned into null and some into NaN: the latter stay."""
     value = F.when(F.col("event_id") % 5 == 0, F.lit(None)).when(
@@ -338,6 +361,10 @@ QUERIES: dict[str, Query] = {
     "null_counts": _on_trips(lambda trips: audit.null_counts(trim_text(trips))),
     "trim_dropna": _on_trips(trim_and_complete),
     "step_counts": _on_trips(ex.step_counts),
+    "written_step_counts": written_step_counts,
+    "audits_at_once": _on_trips(ex.audits_at_once),
+    "persisted_rides": persisted_rides,
+    "schema_of_trips": schema_of_trips,
     "short_rides": _on_trips(_short_rides),
     "shortest_rides_top6": _on_trips(_shortest_rides),
     "long_rides": _on_trips(long_rides),
