@@ -12,19 +12,29 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tripmill.llm.shared import small_batches, uniform
+from tripmill.llm.shared import free_name, uniform
 
 UNKNOWN = "und"
 LONGEST_GRAM = 4
 #: Documents of each language that the model learns from, in expectation.
 SAMPLE_PER_LANGUAGE = 600
-_WORD = re.compile(r"[^\W\d_]+")
+_RUN = re.compile(r"[^\W\d_]+")
 _MOST_CACHED = 300_000
 
 
 def words_of(text: str) -> list[str]:
-    """Runs of letters, in lower case."""
-    return _WORD.findall(text.lower())
+    """Runs of letters (Unicode category L), in lower case.
+
+    The pattern also takes numbers that are no decimal digits, such as a fraction or a Roman
+    numeral's own character; only texts beyond ASCII can hold one.
+    """
+    words = _RUN.findall(text.lower())
+    if text.isascii():
+        return words
+    letters: list[str] = []
+    for word in words:
+        letters.extend([word] if word.isalpha() else filter(None, "".join(c if c.isalpha() else " " for c in word).split()))
+    return letters
 
 
 @dataclass
@@ -171,20 +181,23 @@ def predict(docs: DataFrame, model: LanguageModel, text: str = "text") -> DataFr
     """``docs`` with ``lang_pred`` and ``score`` (0 to 1), which replace columns of these names.
 
     A text that is null or has no letter is ``und`` with score 0, and so is every text
-    if nothing was learned. All rows are kept; other columns pass through.
+    if nothing was learned. All rows are kept; other columns pass through. Only the text goes
+    to Python, once; the rows wait for its answers in the JVM.
     """
-    rest = [name for name in docs.columns if name.lower() not in ("lang_pred", "score")]
+    rest = [docs[name] for name in docs.columns if name.lower() not in ("lang_pred", "score")]
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    @F.arrow_udf("lang_pred string, score double")
+    def identify(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         model = shared.value
-        for batch in small_batches(batches, "__text", 8 << 20):
-            texts = batch.column(batch.schema.get_field_index("__text"))
+        for texts in batches:
             found = [model.predict(t.as_py()) for t in texts]
-            names = pa.array([f[0] for f in found], pa.string())
-            scores = pa.array([f[1] for f in found], pa.float64())
-            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], names, scores], names=[*rest, "lang_pred", "score"])
-
-    chosen = docs.select(*(docs[c] for c in rest), docs[text].alias("__text"))
-    schema = chosen.drop("__text").schema.add("lang_pred", "string").add("score", "double")
-    return chosen.mapInArrow(run, schema)
+            yield pa.StructArray.from_arrays(
+                [pa.array([f[0] for f in found], pa.string()), pa.array([f[1] for f in found], pa.float64())],
+                names=["lang_pred", "score"],
+            )
+
+    answer = free_name(docs, "answer")
+    return docs.select(*rest, identify(docs[text]).alias(answer)).select(
+        *[c for c in docs.columns if c.lower() not in ("lang_pred", "score")], f"{answer}.lang_pred", f"{answer}.score"
+    )
