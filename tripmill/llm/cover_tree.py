@@ -44,7 +44,10 @@ class Tree:
 
 def _radius(points: np.ndarray, center: np.ndarray) -> float:
     """The farthest point's distance from the center, with room for rounding."""
-    return float(np.sqrt(max(0.0, 2 - 2 * (points @ center).min(initial=1.0)))) + 1e-7
+    cosines = points @ center
+    if not np.isfinite(cosines).all():
+        raise ValueError("a point is not a unit vector")
+    return float(np.sqrt(max(0.0, 2 - 2 * cosines.min(initial=1.0)))) + 1e-7
 
 
 def _net(points: np.ndarray, reach: float) -> list[np.ndarray] | None:
@@ -140,7 +143,13 @@ def dual_pairs(a: Tree, b: Tree, threshold: float) -> Iterator[tuple[np.ndarray,
 
 def _unit(values: pa.ListArray) -> np.ndarray:
     found = np.array(values.flatten().to_numpy(zero_copy_only=False), dtype=np.float64).reshape(len(values), -1)
-    return found / np.sqrt((found**2).sum(axis=1, keepdims=True))
+    return unit(found)
+
+
+def unit(vectors: np.ndarray) -> np.ndarray:
+    """Each row divided by its length; the largest component becomes 1 first, so that no square is lost or infinite."""
+    scaled = vectors / np.abs(vectors).max(axis=1, keepdims=True)
+    return scaled / np.sqrt((scaled**2).sum(axis=1, keepdims=True))
 
 
 def _placed(classes: DataFrame) -> DataFrame:
@@ -149,7 +158,7 @@ def _placed(classes: DataFrame) -> DataFrame:
     by_size: dict[int, list] = {}
     for vector in sample.column("vector").to_pylist():
         by_size.setdefault(len(vector), []).append(vector)
-    pivots = {size: np.array(v) / np.linalg.norm(v, axis=1, keepdims=True) for size, v in by_size.items()}
+    pivots = {size: unit(np.array(v, dtype=np.float64)) for size, v in by_size.items()}
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
