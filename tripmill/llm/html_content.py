@@ -19,7 +19,8 @@ _NAME = r"[a-zA-Z][^\s/>]*"
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)|<!\[CDATA\[(?P<cdata>.*?)(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)"
     rf"|</(?P<end>{_NAME})[^>]*(?:>|\Z)"
-    rf"|<(?P<start>{_NAME})(?P<rest>(?:[^>\"']|\"[^\"]*\"|'[^']*'|[\"'])*)(?:>|\Z)",
+    # A quote starts a value behind an equals sign only; elsewhere it is a plain character, as in browsers.
+    rf"|<(?P<start>{_NAME})(?P<rest>(?:[^>\"'=]|=\s*\"[^\"]*\"|=\s*'[^']*'|[=\"'])*)(?:>|\Z)",
     re.DOTALL,
 )
 _ATTRIBUTE = re.compile(r"\b(class|id|role|itemprop|hidden|style|data-y|aria-label)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.I)
@@ -93,6 +94,18 @@ def parse(source: str, page: int, nodes: Nodes) -> None:
     linked = links = silent = 0
     position = 0
     lower_end = len(source)
+    # Where elements of a name stand in open_, and those that are no inline ones.
+    places: defaultdict[str, list[int]] = defaultdict(list)
+    blocks = [0]
+
+    def push(name: str, node: int) -> None:
+        places[name].append(len(open_))
+        if name not in _INLINE:
+            blocks.append(len(open_))
+        open_.append((name, node))
+
+    def last(name: str) -> int:
+        return places[name][-1] if places[name] else 0
 
     def flush() -> None:
         nonlocal linked
@@ -111,8 +124,11 @@ def parse(source: str, page: int, nodes: Nodes) -> None:
         for name, _ in open_[at:]:
             silent -= name in _SILENT
             links -= name == "a"
-        if any(name not in _INLINE for name, _ in open_[at:]):
+            places[name].pop()
+        if blocks[-1] >= at:
             flush()
+        while blocks[-1] >= at:
+            blocks.pop()
         del open_[at:]
 
     while position < lower_end:
@@ -134,15 +150,10 @@ def parse(source: str, page: int, nodes: Nodes) -> None:
             name = found["end"].lower()
             if name == "br":
                 parts.append(" ")
-            elif name == "p" and not any(x == "p" for x, _ in open_):
+            elif name == "p" and not last("p"):
                 flush()
-            else:
-                for at in range(len(open_) - 1, 0, -1):
-                    if open_[at][0] == name:
-                        close(at)
-                        break
-                    if name in _INLINE and open_[at][0] not in _INLINE:
-                        break
+            elif last(name) and (name not in _INLINE or last(name) > blocks[-1]):
+                close(last(name))
         elif found["start"]:
             name = found["start"].lower()
             if name in _VOID:
@@ -158,27 +169,22 @@ def parse(source: str, page: int, nodes: Nodes) -> None:
             if name in _INLINE:
                 if name == "a":
                     links += 1
-                open_.append((name, open_[-1][1]))
+                push(name, open_[-1][1])
                 continue
-            if name in _CLOSES_P:
-                at = next((k for k in range(len(open_) - 1, 0, -1) if open_[k][0] == "p"), 0)
-                if at and all(x in _INLINE for x, _ in open_[at + 1 :]):
-                    close(at)
+            if name in _CLOSES_P and last("p") and last("p") == blocks[-1]:
+                close(blocks[-1])
             if name in _CLOSED_BY:
-                for at in range(len(open_) - 1, 0, -1):
-                    if open_[at][0] in _CLOSED_BY[name]:
-                        close(at)
-                        break
-                    if open_[at][0] in _SCOPES:
-                        break
+                at = max(map(last, _CLOSED_BY[name]))
+                if at > max(map(last, _SCOPES)):
+                    close(at)
             flush()
             rest = found["rest"]
             if name in _SILENT:
                 silent += 1
-                open_.append((name, open_[-1][1]))
+                push(name, open_[-1][1])
             else:
                 marks, label = _marks(rest) if rest else ((), -1)
-                open_.append((name, nodes.add(open_[-1][1], name, marks, page, label)))
+                push(name, nodes.add(open_[-1][1], name, marks, page, label))
     flush()
 
 
@@ -237,13 +243,12 @@ class TreeModel:
         potential = np.exp(np.array(tables) if tables else np.zeros((1, 2, 2)))
         inside = unary  # becomes the unary potential plus the children's messages
         upward = np.zeros((n, 2))
-        levels = [np.nonzero(depth == d)[0] for d in range(depth.max(initial=-1) + 1)]
+        levels = np.split(np.argsort(depth, kind="stable"), np.cumsum(np.bincount(depth))[:-1]) if n else []
         for rows in reversed(levels[1:]):
             peak = inside[rows].max(axis=1, keepdims=True)
             sent = np.einsum("npc,nc->np", potential[kind[rows]], np.exp(inside[rows] - peak))
             upward[rows] = np.log(sent) + peak
-            for label in (0, 1):
-                inside[:, label] += np.bincount(parent[rows], weights=upward[rows, label], minlength=n)
+            np.add.at(inside, parent[rows], upward[rows])
         whole = np.zeros((n, 2))
         for d, rows in enumerate(levels):
             if d == 0:
