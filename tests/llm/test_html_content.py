@@ -72,7 +72,7 @@ def marginals_by_enumeration(model, nodes):
         for k, label in enumerate(labels):
             above = nodes.parent[k]
             score += model.root[label] if above < 0 else model.edge(nodes.tag[above], nodes.tag[k])[labels[above], label]
-            score += sum(model.unary[f][label] for f in hc.features(nodes, k) if f in model.unary)
+            score += sum(model.unary[f][label] for f in hc.features(nodes, k, hc.Shape.of(nodes)) if f in model.unary)
         for k, label in enumerate(labels):
             total[k, label] += np.exp(score)
     return total[:, 1] / total.sum(axis=1)
@@ -90,6 +90,32 @@ def test_marginals_of_some_pages(model):
         assert model.marginals(nodes) == pytest.approx(marginals_by_enumeration(model, nodes), abs=1e-9)
 
 
+@pytest.mark.parametrize("wrap", ["<article>{}</article>", "<main>{}</main>"])
+@pytest.mark.parametrize(
+    "furniture",
+    [
+        '<div class="rhs"><p>{}</p></div>',
+        '<div class="disclaimer"><p>{}</p></div>',
+        '<div class="user-feedback"><div><p>{}</p></div></div>',
+        '<div class="q7"><ul><li><a href="/1">One thing</a><li><a href="/2">Another thing</a></ul></div>',
+        "<nav><a href=/>Home</a></nav>",
+        "<footer>bye</footer>",
+        '<div class="k7"><a href="/">Home</a> <a href="/b">About us</a></div>',
+    ],
+)
+def test_furniture_of_unseen_names(model, wrap, furniture):
+    beside = furniture.format(PARAGRAPHS[1])
+    page = f"<html><body>{beside}{wrap.format(''.join(f'<p>{p}</p>' for p in PARAGRAPHS * 2))}{beside}</body></html>"
+    assert hc.content_of(model, [page])[0] == "\n\n".join(PARAGRAPHS * 2)
+
+
+@pytest.mark.parametrize("n", [1, 30, 300, 5000])
+@pytest.mark.parametrize("wrap", ["<article>{}</article>", "<div><div>{}</div></div>", "{}"])
+def test_articles_of_any_length_stay(model, wrap, n):
+    paragraphs = [PARAGRAPHS[k % 3] for k in range(n)]
+    assert hc.content_of(model, [wrap.format("".join(f"<p>{p}</p>" for p in paragraphs))])[0] == "\n\n".join(paragraphs)
+
+
 def test_odd_tables(spark, model):
     long = "<article>" + "".join(f"<p>{k} {p}</p>" for k in range(4000) for p in PARAGRAPHS) + "</article>"
     rows = [(1, None), (2, ""), (3, "plain text, &amp; no markup."), (4, long), (5, long), (6, "<script>x</script>"), (None, "<article><p>No key.</p></article>")]

@@ -183,7 +183,7 @@ def test_unigram_search_finds_the_best_path():
         return total[-1]
 
     words = ["▁thering", "▁nationale", "▁zzyx", "abcabcabcabc"]
-    for word, ids in zip(words, (tool._search([w])[0] for w in words)):
+    for word, ids in zip(words, (np.frombuffer(tool._search([w])[0], np.int32).tolist() for w in words)):
         assert "".join(tool.texts[k] for k in ids) == word
         assert sum(tool.scores[k] for k in ids) == pytest.approx(best(word))
 
@@ -248,7 +248,7 @@ def test_marginals_equal_enumeration():
     for y in product((0, 1), repeat=n):
         total = model.root[y[0]]
         for at in range(n):
-            total += sum(model.unary[f][y[at]] for f in html_content.features(nodes, at) if f in model.unary)
+            total += sum(model.unary[f][y[at]] for f in html_content.features(nodes, at, html_content.Shape.of(nodes)) if f in model.unary)
             if at:
                 total += model.edge(nodes.tag[nodes.parent[at]], nodes.tag[at])[y[nodes.parent[at]], y[at]]
         for at in range(n):

@@ -39,6 +39,10 @@ _CLOSES_P = frozenset(
 _CLOSED_BY = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}}
 _SCOPES = frozenset("ul ol dl table tr body html article section div".split())
 ROOT, TEXT = "#root", "#text"
+#: The most that a text's length or last character weighs, as a log ratio.
+WEAK = 1.5
+#: Children of a node whose messages count in full.
+MOST_HEARD = 16
 _CLASS_STOP = frozenset(("", "js", "x"))
 
 
@@ -188,12 +192,49 @@ def parse(source: str, page: int, nodes: Nodes) -> None:
     flush()
 
 
-def features(nodes: Nodes, at: int) -> Iterator[str]:
-    """What a node's potential looks at: its names, or the length and links of its text."""
+@dataclass
+class Shape:
+    """What carries over to sites whose names nobody has seen: by node, its subtree and its place on the page."""
+
+    size: list[int]  # characters of text below
+    linked: list[int]  # those in links
+    side: list[str]  # of the page's main element: in it, above it (its ancestors), beside it; or none
+
+    @classmethod
+    def of(cls, nodes: Nodes) -> Shape:
+        n = len(nodes.parent)
+        size, linked = [len(t) if t is not None else 0 for t in nodes.text], list(nodes.linked)
+        for at in range(n - 1, -1, -1):  # children come after their parents
+            above = nodes.parent[at]
+            if above >= 0:
+                size[above] += size[at]
+                linked[above] += linked[at]
+        main: dict[int, int] = {}
+        for at in range(n):
+            if nodes.tag[at] in ("main", "article") and size[at] > size[main.get(nodes.page[at], at)] - (nodes.page[at] not in main):
+                main[nodes.page[at]] = at
+        side = ["beside" if page in main else "none" for page in nodes.page]
+        for at in main.values():
+            above = nodes.parent[at]
+            while above >= 0:
+                side[above] = "above"
+                above = nodes.parent[above]
+            side[at] = "in"
+        for at in range(n):
+            if nodes.parent[at] >= 0 and side[nodes.parent[at]] == "in":
+                side[at] = "in"
+        return cls(size, linked, side)
+
+
+def features(nodes: Nodes, at: int, shape: Shape) -> Iterator[str]:
+    """What a node's potential looks at: its names, the length and links of its text or subtree, its place."""
     text = nodes.text[at]
     if text is None:
         for mark in nodes.marks[at]:
             yield f"mark {mark}"
+        if nodes.parent[at] >= 0:
+            yield f"subtree links {min(4, 5 * shape.linked[at] // max(shape.size[at], 1))}"
+            yield f"side {shape.side[at]}"
         return
     yield f"length {min(len(text).bit_length(), 10)}"
     yield f"links {min(4, 5 * nodes.linked[at] // max(len(text), 1))}"
@@ -219,13 +260,19 @@ class TreeModel:
         return found
 
     def marginals(self, nodes: Nodes) -> np.ndarray:
-        """Probability of content for each node, by sum-product messages up and then down, level by level."""
+        """Probability of content for each node, by sum-product messages up and then down, level by level.
+
+        Siblings say much the same, and a small lean of each would add up to a certainty: above
+        ``MOST_HEARD`` children, a parent takes their messages to a power that makes them
+        count as that many.
+        """
         n = len(nodes.parent)
         parent, depth = np.array(nodes.parent), np.array(nodes.depth)
         kinds: dict[tuple[str, str], int] = {}
         tables: list[np.ndarray] = []
         kind = np.zeros(n, dtype=np.int64)
         unary = np.zeros((n, 2))
+        shape = Shape.of(nodes)
         for at in range(n):
             above = nodes.parent[at]
             if above >= 0:
@@ -236,7 +283,7 @@ class TreeModel:
                 kind[at] = kinds[pair]
             else:
                 unary[at] += self.root
-            for name in features(nodes, at):
+            for name in features(nodes, at, shape):
                 found = self.unary.get(name)
                 if found is not None:
                     unary[at] += found
@@ -244,10 +291,12 @@ class TreeModel:
         inside = unary  # becomes the unary potential plus the children's messages
         upward = np.zeros((n, 2))
         levels = np.split(np.argsort(depth, kind="stable"), np.cumsum(np.bincount(depth))[:-1]) if n else []
+        children = np.bincount(parent[parent >= 0], minlength=n)
+        heard = np.minimum(1.0, MOST_HEARD / np.maximum(children[parent], 1))[:, None]
         for rows in reversed(levels[1:]):
             peak = inside[rows].max(axis=1, keepdims=True)
             sent = np.einsum("npc,nc->np", potential[kind[rows]], np.exp(inside[rows] - peak))
-            upward[rows] = np.log(sent) + peak
+            upward[rows] = (np.log(sent) + peak) * heard[rows]
             np.add.at(inside, parent[rows], upward[rows])
         whole = np.zeros((n, 2))
         for d, rows in enumerate(levels):
@@ -276,6 +325,7 @@ def train(pages: list[str], smoothing: float = 0.3) -> TreeModel:
     any_edge = np.ones((2, 2))
     unary = defaultdict(lambda: np.full(2, smoothing))
     totals = np.full(2, 2 * smoothing)
+    shape = Shape.of(nodes)
     for at, above in enumerate(nodes.parent):
         if nodes.label[at] < 0:
             nodes.label[at] = nodes.label[above] if above >= 0 else 1
@@ -284,12 +334,15 @@ def train(pages: list[str], smoothing: float = 0.3) -> TreeModel:
             for counts in (edges[nodes.tag[above], nodes.tag[at]], by_child[nodes.tag[at]], any_edge):
                 counts[nodes.label[above], y] += 1
         totals[y] += 1
-        for name in features(nodes, at):
+        for name in features(nodes, at, shape):
             unary[name][y] += 1
     to_log = lambda counts: np.log(counts / counts.sum(axis=1, keepdims=True))
     # An edge's counts lean on those of the child's tag.
     leaned = {pair: to_log(counts + by_child[pair[1]] / by_child[pair[1]].sum(axis=1, keepdims=True)) for pair, counts in edges.items()}
     ratios = {name: np.log(counts / totals) for name, counts in unary.items()}
+    for name, ratio in ratios.items():
+        if name.startswith(("length ", "end ")):  # how long a text is says little, however often it was so
+            ratio[1] = ratio[0] + np.clip(ratio[1] - ratio[0], -WEAK, WEAK)
     return TreeModel(leaned, {tag: to_log(c) for tag, c in by_child.items()}, to_log(any_edge), ratios, np.log([0.01, 0.99]))
 
 
