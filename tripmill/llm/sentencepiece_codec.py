@@ -3,20 +3,22 @@
 from __future__ import annotations
 
 import re
-from collections import ChainMap
 from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
-from pyspark.sql.types import ArrayType, IntegerType
+from pyspark.sql import functions as F
 
-from tripmill.llm.shared import small_batches
+from tripmill.llm.shared import free_name
 
 SPACE = "▁"
-_NORMAL, _BYTE, _UNIGRAM, _BPE = 1, 6, 1, 2
+_NORMAL, _UNKNOWN, _USER_DEFINED, _BYTE = 1, 2, 4, 6
+_UNIGRAM, _BPE = 1, 2
 _BASE = np.uint64(0x9E3779B97F4A7C15 | 1)
-_MOST_CACHED = 600_000
+#: Bytes that a worker's known words may take: each word's own, its ids' and the dictionary's.
+CACHE_BYTES, _ENTRY = 96 << 20, 170
 _SIEVE, _SLOTS = 20, 1 << 21
 _SHORT = 64
 _WORD = re.compile(f"{SPACE}*[^{SPACE}]+|{SPACE}+")
@@ -48,6 +50,8 @@ class Codec:
         self.texts = [piece.piece for piece in model.pieces]
         self.scores = np.array([piece.score for piece in model.pieces])
         self.kinds = np.array([piece.type for piece in model.pieces])
+        if (self.kinds == _USER_DEFINED).any():
+            raise ValueError("models with user-defined pieces are not supported")
         self.unknown = next(k for k, piece in enumerate(model.pieces) if piece.type == 2)
         self.bytes = {int(self.texts[k][1:-1], 16): k for k in np.nonzero(self.kinds == _BYTE)[0]}
         normal = np.nonzero(self.kinds == _NORMAL)[0]
@@ -55,6 +59,7 @@ class Codec:
         if any(re.search(f"[^{SPACE}]{SPACE}", piece) for piece in self.ids):
             raise ValueError("a piece goes over the start of a word")
         self.longest = max(map(len, self.ids))
+        self.pairs = {pair for piece in self.ids for pair in zip(piece, piece[1:])}
         self.lowest = self.scores[normal].min() - 10.0
         keys = np.array([self._hash(self.texts[k]) for k in normal], dtype=np.uint64)
         order = np.argsort(keys)
@@ -65,7 +70,10 @@ class Codec:
         self.maybe[self.keys >> np.uint64(64 - _SIEVE)] = True
         self.asked = np.full(_SLOTS, -1)
         self.answers = np.zeros(_SLOTS, dtype=bool)
-        self.cache: dict[str, bytes] = {}  # a word's ids as int32
+        self.recent: dict[str, bytes] = {}  # a word's ids as int32
+        self.older: dict[str, bytes] = {}
+        self.kept = 0
+        self.spelt = [self._bytes_of(k) for k in range(len(self.texts))]
 
     @staticmethod
     def _hash(text: str) -> int:
@@ -113,8 +121,8 @@ class Codec:
             return result
         return self.answers[slots]
 
-    def _search(self, words: Sequence[str]) -> list[list[int]]:
-        """Ids of words of one length: all of them advance together, end by end."""
+    def _search(self, words: Sequence[str]) -> list[bytes]:
+        """Ids (int32) of words of one length: all of them advance together, end by end."""
         n, length = len(words), len(words[0])
         codes = np.frombuffer("".join(words).encode("utf-32-le"), dtype="<u4").reshape(n, length).astype(np.uint64)
         total = np.zeros((length + 1, n), dtype=np.uint64)
@@ -156,20 +164,33 @@ class Codec:
             best[end] = scored[choice, take]
             last[end] = piece[choice, take]
             back[end] = low + choice
-        out: list[list[int]] = [[] for _ in range(n)]
-        position = np.full(n, length)
+        return self._back(words, last, back)
+
+    def _back(self, words: Sequence[str], last: np.ndarray, back: np.ndarray) -> list[bytes]:
+        """The ids of each word's path as int32 bytes, from its last piece to its first."""
+        n = len(words)
+        position = np.full(n, len(words[0]))
         active = np.arange(n)
+        steps = []
         while len(active):
-            ids, starts = last[position[active], active], back[position[active], active]
-            for k, piece_id, start in zip(active.tolist(), ids.tolist(), starts.tolist()):
-                if piece_id == self.unknown:
-                    out[k].extend(reversed(self._spelt(words[k][start])))
-                else:
-                    out[k].append(piece_id)
+            at = position[active]
+            ids, starts = last[at, active], back[at, active]
+            steps.append((active, ids, starts))
             position[active] = starts
             active = active[starts > 0]
-        for ids in out:
-            ids.reverse()
+        owner, ids, starts = (np.concatenate(column[::-1]) for column in zip(*steps))
+        order = np.argsort(owner, kind="stable")
+        owner, ids = owner[order], ids[order]
+        ends = np.searchsorted(owner, np.arange(n + 1)) * 4
+        flat = ids.astype(np.int32).tobytes()
+        out = [flat[a:b] for a, b in zip(ends[:-1].tolist(), ends[1:].tolist())]
+        unknown = np.nonzero(ids == self.unknown)[0]
+        if len(unknown):
+            starts = starts[order]
+            for k in np.unique(owner[unknown]).tolist():
+                pieces = zip(ids[ends[k] // 4 : ends[k + 1] // 4].tolist(), starts[ends[k] // 4 : ends[k + 1] // 4].tolist())
+                spelt = [i for piece, start in pieces for i in (self._spelt(words[k][start]) if piece == self.unknown else [piece])]
+                out[k] = np.array(spelt, dtype=np.int32).tobytes()
         return out
 
     def _spelt(self, character: str) -> list[int]:
@@ -178,48 +199,60 @@ class Codec:
 
     def _words(self, text: str) -> list[str]:
         spaced = text.replace(" ", SPACE)
-        return _WORD.findall(SPACE + spaced if self.prefix and text else spaced)
+        words = _WORD.findall(SPACE + spaced if self.prefix and text else spaced)
+        if len(words) * _SHORT < len(spaced) or any(len(word) > _SHORT for word in words):
+            words = [part for word in words for part in (self._parts(word) if len(word) > _SHORT else [word])]
+        return words
+
+    def _parts(self, word: str) -> list[str]:
+        """A long word, cut between any two characters that stand side by side in no piece: none goes over the cut."""
+        cuts = [k for k, pair in enumerate(zip(word, word[1:]), 1) if pair not in self.pairs]
+        return [word[a:b] for a, b in zip([0, *cuts], [*cuts, len(word)])]
 
     def encode(self, texts: Sequence[str]) -> list[np.ndarray]:
         """Ids of each text, as the library's ``encode`` gives them."""
         cut = [self._words(text) for text in texts]
-        if len(self.cache) >= _MOST_CACHED:
-            self.cache.clear()
+        found: dict[str, bytes] = {}
         new: dict[int, list[str]] = {}
-        for word in {word for words in cut for word in words} - self.cache.keys():
-            new.setdefault(len(word), []).append(word)
-        fresh: dict[str, bytes] = {}
+        for word in set().union(*cut):
+            ids = self.recent.get(word)
+            if ids is None:
+                ids = self.older.get(word)
+                if ids is None:
+                    new.setdefault(len(word), []).append(word)
+                    continue
+                self._keep(word, ids)
+            found[word] = ids
         for length, words in new.items():
             step = max(1, 200_000 // (length * self.longest))
             for start in range(0, len(words), step):
                 part = words[start : start + step]
-                found = [np.array(ids, dtype=np.int32).tobytes() for ids in self._search(part)]
-                target = self.cache if length <= _SHORT else fresh  # long words don't come again
-                target.update(zip(part, found))
-        lookup = ChainMap(fresh, self.cache).__getitem__ if fresh else self.cache.__getitem__
-        return [np.frombuffer(b"".join(map(lookup, words)), dtype=np.int32) for words in cut]
+                for word, ids in zip(part, self._search(part)):
+                    found[word] = ids
+                    if length <= _SHORT:  # long words don't come again
+                        self._keep(word, ids)
+        return [np.frombuffer(b"".join(map(found.__getitem__, words)), dtype=np.int32) for words in cut]
+
+    def _keep(self, word: str, ids: bytes) -> None:
+        """Remember a word; when half the room is taken, the words not met since the last time go."""
+        self.recent[word] = ids
+        self.kept += len(ids) + 4 * len(word) + _ENTRY
+        if self.kept > CACHE_BYTES // 2:
+            self.older, self.recent, self.kept = self.recent, {}, 0
+
+    def _bytes_of(self, k: int) -> bytes:
+        """What a piece decodes to."""
+        if self.kinds[k] == _BYTE:
+            return bytes([int(self.texts[k][1:-1], 16)])
+        if self.kinds[k] == _UNKNOWN:
+            return " ⁇ ".encode()
+        return self.texts[k].replace(SPACE, " ").encode() if self.kinds[k] == _NORMAL else b""
 
     def decode(self, ids: Sequence[int]) -> str:
         """The text of ids: spaces restored, byte pieces joined, the added first space taken off."""
-        parts: list[bytes] = []
-        for k in ids:
-            kind = self.kinds[k]
-            if kind == _BYTE:
-                parts.append(bytes([int(self.texts[k][1:-1], 16)]))
-            elif kind == _NORMAL:
-                parts.append(self.encoded[k])
-            elif kind == 2:
-                parts.append(" ⁇ ".encode())
-        text = b"".join(parts).decode("utf-8", "replace")
+        text = b"".join([self.spelt[k] for k in ids]).decode("utf-8", "replace")
         return text[1:] if self.prefix and text.startswith(" ") else text
 
-    @property
-    def encoded(self) -> list[bytes]:
-        """Each piece's own bytes."""
-        if "_encoded" not in self.__dict__:
-            self._encoded = [piece.replace(SPACE, " ").encode() for piece in self.texts]
-        return self._encoded
-
 
 _codecs: dict[str, Codec] = {}
 
@@ -231,27 +264,55 @@ def codec(model_file: str) -> Codec:
     return _codecs[model_file]
 
 
-def encode(docs: DataFrame, model_file: str, text: str = "text", ids: str = "token_ids") -> DataFrame:
+def encode(
+    docs: DataFrame, model_file: str, text: str = "text", ids: str = "token_ids", exact: str | None = None
+) -> DataFrame:
     """``docs`` with an array of ids, null for a null text and empty for an empty one.
 
-    Repeated rows give the same ids; other columns pass through, one named ``ids`` is
+    With ``exact``, a column of that name tells whether the ids decode to the very text (a null
+    text: true); it is found beside the ids, so that one codec a worker does both. Repeated rows
+    give the same ids; other columns pass through in the JVM, those named ``ids`` or ``exact`` are
     replaced. The file has to be at the same path on every machine.
     """
-    rest = [name for name in docs.columns if name.lower() != ids.lower()]
+    given = {ids: "ids", **({exact: "exact"} if exact else {})}
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    @F.arrow_udf("ids array<int>, exact boolean" if exact else "ids array<int>")
+    def coded(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         tool = codec(model_file)
-        for batch in small_batches(batches, "__text", 4 << 20):
-            texts = batch.column(batch.schema.get_field_index("__text"))
-            found = tool.encode([t.as_py() or "" for t in texts])
-            ends = np.cumsum([0, *(len(f) for f in found)]).astype(np.int32)
-            flat = pa.array(np.concatenate(found) if found else np.zeros(0, np.int32))
-            values = pa.ListArray.from_arrays(pa.array(ends), flat, mask=texts.is_null())
-            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], values], names=[*rest, ids])
-
-    chosen = docs.select(*(docs[c] for c in rest), docs[text].alias("__text"))
-    schema = chosen.drop("__text").schema.add(ids, ArrayType(IntegerType()))
-    return chosen.mapInArrow(run, schema)
+        for texts in batches:
+            parts = [_coded(tool, part, bool(exact)) for part in _slices(texts, 4 << 20)]
+            yield pa.concat_arrays(parts) if parts else _coded(tool, texts, bool(exact))
+
+    rest = [name for name in docs.columns if name.lower() not in {name.lower() for name in given}]
+    answer = free_name(docs, "answer")
+    return docs.select(*(docs[c] for c in rest), coded(docs[text]).alias(answer)).select(
+        *rest, *(F.col(f"{answer}.{field}").alias(name) for name, field in given.items())
+    )
+
+
+def _slices(texts: pa.Array, limit: int) -> Iterator[pa.Array]:
+    """The same texts in slices of about that many bytes, one text at least."""
+    start, size = 0, 0
+    lengths = pc.binary_length(texts).fill_null(0).to_numpy(zero_copy_only=False)
+    for at, length in enumerate(lengths.tolist()):
+        if size and size + length > limit:
+            yield texts.slice(start, at - start)
+            start, size = at, 0
+        size += length
+    if start < len(texts):
+        yield texts.slice(start)
+
+
+def _coded(tool: Codec, texts: pa.Array, exact: bool) -> pa.StructArray:
+    values = texts.to_pylist()
+    found = tool.encode([value or "" for value in values])
+    ends = np.cumsum([0, *(len(f) for f in found)]).astype(np.int32)
+    flat = pa.array(np.concatenate(found) if found else np.zeros(0, np.int32))
+    columns = [pa.ListArray.from_arrays(pa.array(ends), flat, mask=texts.is_null())]
+    if exact:
+        same = [value is None or tool.decode(f.tolist()) == value for value, f in zip(values, found)]
+        columns.append(pa.array(same, pa.bool_()))
+    return pa.StructArray.from_arrays(columns, names=["ids", "exact"][: len(columns)])
 
 
 def decode(docs: DataFrame, model_file: str, ids: str = "token_ids", text: str = "decoded") -> DataFrame:
@@ -264,7 +325,7 @@ def decode(docs: DataFrame, model_file: str, ids: str = "token_ids", text: str =
             for start in range(0, whole.num_rows, 500):
                 batch = whole.slice(start, 500)
                 lists = batch.column(batch.num_columns - 1)
-                found = [tool.decode(v.values.to_numpy()) if v.is_valid else None for v in lists]
+                found = [tool.decode(v) if v is not None else None for v in lists.to_pylist()]
                 yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(found, pa.string())], names=[*rest, text])
 
     chosen = docs.select(*(docs[c] for c in rest), docs[ids].alias("__ids"))
