@@ -16,8 +16,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tripmill.llm.shared import small_batches
-from tripmill.session import new_folder
+from tripmill.llm.shared import scratch_folder, small_batches
 
 BLOCK_BYTES = 2 << 20
 #: Packed bytes that one bucket is planned to hold.
@@ -57,7 +56,7 @@ def _bucketed(frame: DataFrame, key: str) -> DataFrame:
     spark = frame.sparkSession
     n = int(spark.conf.get("spark.sql.shuffle.partitions"))
     name = f"blocks_{uuid.uuid4().hex}"
-    writer = frame.repartition(n, key).write.bucketBy(n, key).option("path", new_folder(spark, "blocks"))
+    writer = frame.repartition(n, key).write.bucketBy(n, key).option("path", scratch_folder(spark, "blocks"))
     writer.saveAsTable(name)
     stored = spark.table(name)
     spark.sql(f"DROP TABLE {name}")

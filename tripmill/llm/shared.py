@@ -4,12 +4,14 @@ from __future__ import annotations
 
 import os
 from collections.abc import Iterator
+from contextlib import contextmanager
 from pathlib import Path
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tripmill import storage
 from tripmill.session import new_folder
 
 
@@ -30,6 +32,31 @@ def fold_is(key: Column, modulus: int, remainder: int) -> Column:
     return F.coalesce(F.crc32(key.cast("string")) % modulus == remainder, F.lit(False))
 
 
+_scratch: list[list[str]] = []
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[None]:
+    """Tables that are settled inside are removed at the end, when what was made of them is written.
+
+    Without it they stay in the shared folder until its owner clears it.
+    """
+    _scratch.append([])
+    try:
+        yield
+    finally:
+        for folder in _scratch.pop():
+            storage.remove(spark, folder)
+
+
+def scratch_folder(spark: SparkSession, label: str) -> str:
+    """A new folder in the shared one, which ends with the scratch that it is made in."""
+    folder = new_folder(spark, label)
+    if _scratch:
+        _scratch[-1].append(folder)
+    return folder
+
+
 def settle(frame: DataFrame, label: str) -> DataFrame:
     """Write a table to the shared folder and read it back.
 
@@ -37,7 +64,7 @@ def settle(frame: DataFrame, label: str) -> DataFrame:
     real size, so that it broadcasts only what is below its threshold.
     """
     spark = frame.sparkSession
-    folder = new_folder(spark, label)
+    folder = scratch_folder(spark, label)
     frame.write.parquet(folder)
     return spark.read.schema(frame.schema).parquet(folder)
 
