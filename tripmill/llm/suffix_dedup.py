@@ -81,21 +81,31 @@ class Text:
         return low, np.minimum(at + self.length, self.ends[own])
 
 
-def _packed(keys: np.ndarray, buckets: int, extra: np.ndarray | None = None) -> Iterator[tuple[int, bytes]]:
-    """A question for each bucket: its keys, each once, without the bits that the bucket tells."""
+def _by_bucket(keys: np.ndarray, buckets: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The keys' order by bucket, the buckets there are, and where each ends in that order."""
     bucket = (keys >> np.uint64(40)) % np.uint64(buckets)
-    for number in np.unique(bucket):
-        own = bucket == number
-        data = keys[own] if extra is None else np.concatenate([keys[own], extra[own]])
-        yield int(number), data.tobytes()
+    order = np.argsort(bucket, kind="stable")
+    numbers, sizes = np.unique(bucket, return_counts=True)
+    return order, numbers, np.cumsum(sizes)
+
+
+def _packed(keys: np.ndarray, buckets: int, extra: np.ndarray | None = None) -> Iterator[tuple[int, bytes]]:
+    """A question for each bucket: its keys, each once."""
+    order, numbers, ends = _by_bucket(keys, buckets)
+    columns = [keys[order]] if extra is None else [keys[order], extra[order]]
+    begin = 0
+    for number, end in zip(numbers.tolist(), ends.tolist()):
+        yield number, b"".join(column[begin:end].tobytes() for column in columns)
+        begin = end
 
 
 def _spread(answers: list[dict] | None, keys: np.ndarray, buckets: int) -> np.ndarray:
     """Answers in the keys' order."""
     out = np.zeros(len(keys), dtype=np.uint8)
-    bucket = (keys >> np.uint64(40)) % np.uint64(buckets)
-    for pair in answers or ():
-        out[bucket == np.uint64(pair["bucket"])] = np.frombuffer(pair["answer"], dtype=np.uint8)
+    order, numbers, ends = _by_bucket(keys, buckets)
+    told = {pair["bucket"]: pair["answer"] for pair in answers or ()}
+    if told:
+        out[order] = np.frombuffer(b"".join(told[number] for number in numbers.tolist()), dtype=np.uint8)
     return out
 
 
