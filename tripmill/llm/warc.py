@@ -85,6 +85,16 @@ def write_archives(pages: DataFrame, folder: str, date: str = "1970-01-01T00:00:
     joined.select(record.alias("value")).write.option("lineSep", "\r\n\r\n").option("compression", "gzip").text(folder)
 
 
+#: Schemes by which Hadoop names a store, and pyarrow's name of it.
+_SCHEMES = {"s3a": "s3", "s3n": "s3", "wasbs": "abfss", "wasb": "abfs"}
+
+
+def _store(uri: str) -> tuple[fs.FileSystem, str]:
+    """pyarrow's file system of a Hadoop URI, and the path in it."""
+    scheme, colon, rest = uri.partition("://")
+    return fs.FileSystem.from_uri(f"{_SCHEMES.get(scheme, scheme)}{colon}{rest}")
+
+
 @dataclass
 class Files(InputPartition):
     """Archive files that one task reads."""
@@ -110,7 +120,7 @@ class WarcReader(DataSourceReader):
             self.wanted[column] = self.wanted.get(column, values) & values
 
     def partitions(self) -> Sequence[InputPartition]:
-        store, root = fs.FileSystem.from_uri(self.folder)
+        store, root = _store(self.folder)
         found = store.get_file_info(fs.FileSelector(root, recursive=True))
         names = ((f.path, f.size) for f in found if f.is_file and f.base_name[0] not in "._")
         groups: list[list[str]] = []
@@ -137,7 +147,7 @@ class WarcReader(DataSourceReader):
         yield pa.RecordBatch.from_arrays([pa.array(v, k) for v, k in zip(rows, kinds)], names=list(self.columns))
 
     def _records(self, partition: Files) -> Iterator[tuple[dict[str, str], bytes | None]]:
-        store, _ = fs.FileSystem.from_uri(self.folder)
+        store, _ = _store(self.folder)
         for path in partition.paths:
             with store.open_input_stream(path, compression=None) as raw:
                 packed = path.endswith(".gz")
@@ -240,7 +250,8 @@ def round_trip(pages: DataFrame) -> DataFrame:
 
     ``page_id``, ``payload_bytes``, ``payload_digest`` (SHA-256 of the full payload),
     ``record_type`` and ``refers_to``. Digest and length of a response are those of the
-    payload read back; a revisit's come from its header, and no payload is decoded for it.
+    payload read back; a revisit's come from its header, and no payload is decoded for it. The
+    archives are read once.
     Repeated rows give as many records; an empty table gives none; further columns stay behind.
     """
     spark = pages.sparkSession
@@ -248,20 +259,12 @@ def round_trip(pages: DataFrame) -> DataFrame:
     kind = pages.schema["page_id"].dataType
     write_archives(pages, folder)
     page = lambda column: F.nullif(F.regexp_extract(column, "urn:page:(.*)>", 1), F.lit("")).cast(kind)
-    stored = read_archives(spark, folder).where(F.col("record_type") == "response")
-    again = read_archives(spark, folder, payload=False).where(F.col("record_type") == "revisit")
-    responses = stored.select(
-        page("record_id").alias("page_id"),
-        F.octet_length("payload").cast("long").alias("payload_bytes"),
-        F.sha2("payload", 256).alias("payload_digest"),
-        "record_type",
-        F.lit(None).cast(kind).alias("refers_to"),
-    )
-    revisits = again.select(
+    stored = read_archives(spark, folder).where(F.col("record_type").isin("response", "revisit"))
+    own = F.col("record_type") == "response"
+    return stored.select(
         page("record_id").alias("page_id"),
-        F.col("payload_length").cast("long").alias("payload_bytes"),
-        F.regexp_replace("payload_digest", "^sha256:", "").alias("payload_digest"),
+        F.when(own, F.octet_length("payload")).otherwise(F.col("payload_length").cast("int")).cast("long").alias("payload_bytes"),
+        F.when(own, F.sha2("payload", 256)).otherwise(F.regexp_replace("payload_digest", "^sha256:", "")).alias("payload_digest"),
         "record_type",
-        page("refers_to").alias("refers_to"),
+        F.when(~own, page("refers_to")).alias("refers_to"),
     )
-    return responses.unionByName(revisits)
