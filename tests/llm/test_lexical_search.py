@@ -102,7 +102,9 @@ def test_blocks(monkeypatch, block_docs):
     vocabulary = sorted({t for d in docs for t in terms(d)})
     weights = np.array([1 + len(v) * 100 for v in vocabulary])
     shard = shard_of(docs, vocabulary)
-    built = ls._blocks(shard, weights, len(docs), 9000)
+    items = [np.array(sorted({random.Random(seed).randrange(len(vocabulary)) for _ in range(9)})) for seed in range(8)]
+    partners = ls.Partners(items, len(vocabulary))
+    built = ls._blocks(shard, weights, len(docs), 9000, partners)
     postings = {(int(t), int(d)) for t, d in zip(built["terms"], np.repeat(np.arange(len(shard["ids"])), np.diff(shard["ends"], prepend=0)))}
     blocks = np.split(built["block_docs"], built["block_ends"])[:-1]
     assert {(int(t), int(d)) for t, b in zip(built["block_terms"], blocks) for d in b} == postings
@@ -110,13 +112,13 @@ def test_blocks(monkeypatch, block_docs):
     values = {}
     for d, (low, high) in enumerate(zip(built["ends"] - np.diff(built["ends"], prepend=0), built["ends"])):
         values[d] = dict(zip(built["terms"][low:high].tolist(), built["values"][low:high].tolist()))
-    for b, top_t, top_v in zip(blocks, np.split(built["top_terms"], built["top_ends"]), np.split(built["top_values"], built["top_ends"])):
+    for own, b, top_t, top_v in zip(built["block_terms"].tolist(), blocks, np.split(built["top_terms"], built["top_ends"]), np.split(built["top_values"], built["top_ends"])):
         if len(b) > 1:
-            want = {t: max(values[d].get(t, 0) for d in b) for d in b for t in values[d]}
+            beside = {own}.union(*(i.tolist() for i in items if own in i))
+            want = {t: max(values[d].get(t, 0) for d in b) for d in b for t in values[d].keys() & beside}
             assert dict(zip(top_t.tolist(), top_v.tolist())) == want
     passed = 0
-    for seed in range(8):
-        item = np.array(sorted({random.Random(seed).randrange(len(vocabulary)) for _ in range(9)}))
+    for item in items:
         exact = {d: sum(int(weights[t]) * v.get(t, 0) for t in item.tolist()) for d, v in values.items()}
         ranked = sorted((-s, int(shard["ids"][d])) for d, s in exact.items() if s > 0)[:10]
         for least in (0, -ranked[-1][0], -ranked[0][0]):
@@ -129,6 +131,6 @@ def test_blocks(monkeypatch, block_docs):
 def test_similar_documents_share_blocks():
     docs = [("apple pear plum " if k % 2 else "iron steel zinc ") * 3 + "common" for k in range(200)]
     vocabulary = sorted({t for d in docs for t in terms(d)})
-    built = ls._blocks(shard_of(docs, vocabulary), np.full(len(vocabulary), 1000), 200, 2000)
+    built = ls._blocks(shard_of(docs, vocabulary), np.full(len(vocabulary), 1000), 200, 2000, ls.Partners([], len(vocabulary)))
     blocks = [b for t, b in zip(built["block_terms"], np.split(built["block_docs"], built["block_ends"])) if vocabulary[t] == "common"]
     assert all(len({d % 2 for d in b.tolist()}) == 1 for b in blocks)

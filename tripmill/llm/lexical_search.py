@@ -6,7 +6,8 @@ value that any of its documents has. An item's score of a summary bounds the sco
 documents, so a block is passed over exactly if that bound is below the score of the last
 document that can still be among the best. Bounds are exact integers, so the result is.
 
-The index holds the terms of the stated items; no other term adds to a score.
+The index holds the terms of the stated items, as no other term adds to a score, and in a
+summary the terms that share an item with the block's own, as no other item reads that block.
 """
 
 from __future__ import annotations
@@ -32,6 +33,8 @@ BLOCK_DOCS, DIMENSIONS = 32, 32
 TERMS_TOGETHER = 300_000
 #: One shard of so many is searched first; the scores found there are what the others have to reach.
 FIRST_OF = 16
+#: Shards that one task turns into blocks, and the partners that it remembers.
+_SHARDS_TOGETHER, _KEPT_PARTNERS = 8, 1 << 21
 _PIECE = 1 << 20
 _NO_ID = np.iinfo(np.int64).max
 _TERM_BYTES = bytes(
@@ -138,8 +141,10 @@ class Index:
     weights: np.ndarray
 
 
-def build_index(docs: DataFrame, vocabulary: Sequence[bytes], key: str = "doc_id", text: str = "text") -> Index:
-    """Index the documents' postings of the given terms.
+def build_index(
+    docs: DataFrame, vocabulary: Sequence[bytes], items: Sequence[np.ndarray], key: str = "doc_id", text: str = "text"
+) -> Index:
+    """Index the documents' postings of the given terms for items given as distinct places among them.
 
     Counts and statistics are of all documents. A null text has no terms; a null key is kept
     and ranks last among equal scores; rows with equal keys are documents of their own.
@@ -147,7 +152,7 @@ def build_index(docs: DataFrame, vocabulary: Sequence[bytes], key: str = "doc_id
     spark = docs.sparkSession
     vocabulary = list(vocabulary)
     shards = settle(_shards(docs, vocabulary, key, text), "shards")
-    totals = shards.agg(F.sum("n_docs").alias("docs"), F.sum("n_terms").alias("terms")).first()
+    totals = shards.agg(F.sum("n_docs").alias("docs"), F.sum("n_terms").alias("terms"), F.count("*").alias("n")).first()
     n_docs, n_terms = totals["docs"] or 0, totals["terms"] or 0
 
     n_known = len(vocabulary)
@@ -165,18 +170,48 @@ def build_index(docs: DataFrame, vocabulary: Sequence[bytes], key: str = "doc_id
     weights = np.zeros(len(vocabulary), dtype=np.int64)
     for row in held.select("term", F.floor(1000 * rarity).cast("long").alias("weight")).collect():
         weights[row["term"]] = row["weight"]
-    shared = spark.sparkContext.broadcast(weights)
+    shared = spark.sparkContext.broadcast((weights, list(items)))
 
     def blocked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        weights, items = shared.value
+        partners = Partners(items, len(weights))
         for batch in batches:
             for shard, packed in zip(batch.column(0), batch.column(1)):
-                built = _blocks(_arrays(packed.as_py()), shared.value, n_docs, n_terms)
+                built = _blocks(_arrays(packed.as_py()), weights, n_docs, n_terms, partners)
                 yield pa.RecordBatch.from_arrays([pa.array([shard]), pa.array([_packed(**built)], pa.binary())], names=["shard", "packed"])
 
-    return Index(settle(shards.select("shard", "packed").mapInArrow(blocked, "shard long, packed binary"), "index"), vocabulary, weights)
-
-
-def _blocks(shard: dict[str, np.ndarray], weights: np.ndarray, n_docs: int, n_terms: int) -> dict[str, np.ndarray]:
+    # A shard is small and takes long: tasks are counted by shards, not by the bytes they read.
+    dealt = shards.select("shard", "packed").repartition(max(1, totals["n"] // _SHARDS_TOGETHER), "shard")
+    return Index(settle(dealt.mapInArrow(blocked, "shard long, packed binary"), "index"), vocabulary, weights)
+
+
+class Partners:
+    """By term, the terms of the items that hold it, itself included."""
+
+    def __init__(self, items: Sequence[np.ndarray], n_terms: int) -> None:
+        self.items = items
+        holders = np.repeat(np.arange(len(items)), [len(item) for item in items])
+        terms = np.concatenate([np.zeros(0, np.int64), *items])
+        self.holders = holders[np.argsort(terms, kind="stable")]
+        self.ends = np.cumsum(np.bincount(terms, minlength=n_terms))
+        self.known: dict[int, np.ndarray] = {}
+        self.kept = 0
+
+    def __getitem__(self, term: int) -> np.ndarray:
+        found = self.known.get(term)
+        if found is None:
+            own = self.holders[self.ends[term - 1] if term else 0 : self.ends[term]]
+            found = np.unique(np.concatenate([[term], *(self.items[k] for k in own.tolist())]))
+            if self.kept > _KEPT_PARTNERS:
+                self.known, self.kept = {}, 0
+            self.known[term] = found
+            self.kept += len(found)
+        return found
+
+
+def _blocks(
+    shard: dict[str, np.ndarray], weights: np.ndarray, n_docs: int, n_terms: int, partners: Partners
+) -> dict[str, np.ndarray]:
     """A shard's postings with values, and its blocks.
 
     ``ids``, ``ends``, ``terms``, ``values`` by document; ``block_terms``, ``block_ends`` and ``block_docs``
@@ -186,42 +221,44 @@ def _blocks(shard: dict[str, np.ndarray], weights: np.ndarray, n_docs: int, n_te
     owners = np.repeat(np.arange(len(ends)), np.diff(ends, prepend=0))
     spread = 50 + 50 * shard["sizes"] * n_docs // max(n_terms, 1)
     values = (1_000_000_000 * counts // (1000 * counts + 20 * spread[owners])).astype(np.int32)
-    points = _points(ends, terms, weights[terms] * values)
     local, columns = np.unique(terms, return_inverse=True)
     dense = np.zeros((len(ends), len(local)), dtype=np.int32)
     dense[owners, columns] = values
+    points = _points(dense, local, weights)
     order = np.argsort(columns, kind="stable")
     lists = np.split(owners[order], np.cumsum(np.bincount(columns, minlength=len(local)))[:-1]) if len(local) else []
-    block_terms, block_sizes, block_docs, tops = [], [], [], []
+    none = np.zeros(0, np.int32)
+    block_terms, block_sizes, block_docs, top_terms, top_values = [], [], [], [], []
     for term, docs in zip(local.tolist(), lists):
+        beside = np.searchsorted(local, partners[term])
+        beside = beside[beside < len(local)]
+        beside = beside[np.isin(local[beside], partners[term])]
         for members in _clusters(docs, points):
             block_terms.append(term)
             block_sizes.append(len(members))
             block_docs.append(members)
             # A block of one needs no summary: its document is the bound.
-            tops.append(dense[members].max(axis=0) if len(members) > 1 else np.zeros(0, np.int32))
-    kept = [np.nonzero(top)[0] for top in tops]
-    none = np.zeros(0, np.int32)
+            top = dense[members[:, None], beside].max(axis=0) if len(members) > 1 else none
+            kept = np.nonzero(top)[0]
+            top_terms.append(local[beside[kept]].astype(np.int32))
+            top_values.append(top[kept])
     return {
         "ids": shard["ids"], "ends": ends, "terms": terms, "values": values,
         "block_terms": np.array(block_terms, np.int32), "block_ends": np.cumsum(block_sizes, dtype=np.int64),
         "block_docs": np.concatenate([none, *block_docs]).astype(np.int32),
-        "top_ends": np.cumsum([len(k) for k in kept], dtype=np.int64),
-        "top_terms": np.concatenate([none, *(local[k] for k in kept)]).astype(np.int32),
-        "top_values": np.concatenate([none, *(top[k] for top, k in zip(tops, kept))]),
+        "top_ends": np.cumsum([len(t) for t in top_terms], dtype=np.int64),
+        "top_terms": np.concatenate([none, *top_terms]), "top_values": np.concatenate([none, *top_values]),
     }
 
 
-def _points(ends: np.ndarray, terms: np.ndarray, values: np.ndarray) -> np.ndarray:
+def _points(dense: np.ndarray, terms: np.ndarray, weights: np.ndarray) -> np.ndarray:
     """Documents as directions in few dimensions: each term has random signs, always the same ones."""
-    if not len(ends):
-        return np.zeros((0, DIMENSIONS), np.float32)
     seeds = (terms.astype(np.uint64) + np.uint64(1)) * np.uint64(0x9E3779B97F4A7C15)
     seeds ^= seeds >> np.uint64(29)
     seeds *= np.uint64(0xBF58476D1CE4E5B9)
     bits = (seeds[:, None] >> np.arange(32, 32 + DIMENSIONS, dtype=np.uint64)) & np.uint64(1)
-    weighted = (bits.astype(np.float32) * 2 - 1) * values[:, None].astype(np.float32)
-    points = np.add.reduceat(weighted, ends - np.diff(ends, prepend=0), axis=0)
+    signs = (bits.astype(np.float32) * 2 - 1) * weights[terms].astype(np.float32)[:, None]
+    points = np.concatenate([dense[k : k + 64].astype(np.float32) @ signs for k in range(0, len(dense), 64)] or [signs[:0]])
     return points / np.maximum(np.linalg.norm(points, axis=1, keepdims=True), 1e-9)
 
 
@@ -373,8 +410,8 @@ def rank(
         rows = stated.where((F.size("terms") > 0) & (F.pmod(F.xxhash64("item"), F.lit(n_groups)) == group)).select("item", "terms").collect()
         vocabulary = sorted({bytes(term) for row in rows for term in row["terms"]})
         place = {term: k for k, term in enumerate(vocabulary)}
-        index = build_index(docs, vocabulary, key, text)
-        found = search(index, [np.array([place[bytes(t)] for t in row["terms"]], dtype=np.int64) for row in rows], best)
+        asked = [np.array([place[bytes(t)] for t in row["terms"]], dtype=np.int64) for row in rows]
+        found = search(build_index(docs, vocabulary, asked, key, text), asked, best)
         numbers = spark.createDataFrame([(k, row["item"]) for k, row in enumerate(rows)], "item long, number long")
         answer = found.join(numbers, "item").select("number", "rank", "doc", "score")
         out = answer if out is None else out.union(answer)
