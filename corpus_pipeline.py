@@ -7,8 +7,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tripmill import storage
 from tripmill.llm import decontaminate, language_id, sentencepiece_codec, simhash, suffix_dedup
-from tripmill.llm.shared import settle, table, tokenizer_file
+from tripmill.llm.shared import scratch, table, tokenizer_file
+from tripmill.session import new_folder
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
@@ -19,7 +21,7 @@ LEAST_SHARE = 0.5
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents of a language that their labels teach; those without a letter, or of no clear language, go."""
     model = language_id.train(docs, F.lit(True))
-    found = language_id.predict(docs.select("*", F.col("text").alias("__read")), model, "__read")
+    found = language_id.predict(docs, model)
     clear = (F.col("lang_pred") != language_id.UNKNOWN) & (F.col("score") >= LEAST_SHARE)
     return found.where(clear).select(docs.columns)
 
@@ -42,11 +44,9 @@ def drop_test_items(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 def tokenize(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of each document, and whether they decode to its text."""
     model = tokenizer_file()
-    coded = sentencepiece_codec.decode(sentencepiece_codec.encode(docs, model), model)
-    exact = F.col("decoded").eqNullSafe(F.col("text")).alias("round_trip")
-    return coded.select(
-        "doc_id", "lang", "source", F.size("token_ids").cast("long").alias("n_tokens"), "token_ids", exact
-    )
+    coded = sentencepiece_codec.encode(docs, model, exact="round_trip")
+    n_tokens = F.size("token_ids").cast("long").alias("n_tokens")
+    return coded.select("doc_id", "lang", "source", n_tokens, "token_ids", "round_trip")
 
 
 STAGES: list[tuple[str, Stage]] = [
@@ -62,8 +62,18 @@ ORACLE_SQL: str | None = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over the documents, each stage's rows written to the shared folder and read again."""
-    docs = table(spark, sf_dir, "documents")
+    """All stages over the documents, each stage's rows written to the shared folder and read again.
+
+    What a stage has written on its way goes when its rows are there, and these go when the next stage's are.
+    """
+    docs, before = table(spark, sf_dir, "documents"), None
     for name, stage in STAGES:
-        docs = settle(stage(spark, docs, sf_dir), name)
+        folder = new_folder(spark, name)
+        with scratch(spark):
+            found = stage(spark, docs, sf_dir)
+            found.write.parquet(folder)
+        docs = spark.read.schema(found.schema).parquet(folder)
+        if before is not None:
+            storage.remove(spark, before)
+        before = folder
     return docs
