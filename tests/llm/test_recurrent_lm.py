@@ -118,3 +118,12 @@ def test_odd_tables(spark):
     assert lm.score(docs.limit(0), F.lit(True)).count() == 0
     unlearned = lm.score(docs, F.lit(False)).collect()
     assert len(unlearned) == len(rows) and {r.train_tokens for r in unlearned} == {0} and {r.n_known for r in unlearned} == {0}
+
+
+def test_every_training_token_is_learned_from(spark, monkeypatch):
+    noted, fit = [], lm.Mixture.fit
+    monkeypatch.setattr(lm.Mixture, "fit", lambda counts, gains, times: noted.append(int(np.sum(times))) or fit(counts, gains, times))
+    docs = spark.createDataFrame([(k, f"w{k % 7} " * (k % 50)) for k in range(300)], "doc_id long, text string")
+    got = lm.score(docs, F.col("doc_id") % 5 != 1).collect()
+    learned = [r for r in got if r.doc_id % 5 != 1]
+    assert noted == [sum(r.n_tokens for r in learned)] == [got[0].train_tokens]

@@ -44,8 +44,12 @@ def blocks(docs: DataFrame, columns: list[str], text: str, block_bytes: int = BL
             packed = packer.compress(sink.getvalue())
             yield pa.RecordBatch.from_arrays([pa.array([size]), pa.array([packed], pa.binary())], names=["size", "packed"])
 
-    numbered = chosen.mapInArrow(run, "size long, packed binary").withColumn("block", F.monotonically_increasing_id())
-    return _bucketed(numbered, "block")
+    return numbered(chosen.mapInArrow(run, "size long, packed binary"))
+
+
+def numbered(packed: DataFrame) -> DataFrame:
+    """Packed rows with their number, ``block``, written once and bucketed by it."""
+    return _bucketed(packed.withColumn("block", F.monotonically_increasing_id()), "block")
 
 
 def _bucketed(frame: DataFrame, key: str) -> DataFrame:

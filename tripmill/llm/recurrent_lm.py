@@ -9,30 +9,32 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tripmill.llm import exchange
-from tripmill.llm.shared import scratch_folder, settle, small_batches, uniform
+from tripmill.llm.shared import settle, small_batches, uniform
 
 CLASS_SIZE = 32
 WORDS = 32 * CLASS_SIZE
 EMBEDDING, HIDDEN = 16, 24
 WINDOW = 24
-#: Rounds of training, and the share of the training documents that is new in each; one more is left for the mixture.
-ROUNDS, ROUND_SHARE = 6, 0.03
-_SHARD_BYTES = 2 << 20
+#: Rounds of training; each training document is in one of them.
+ROUNDS = 6
+#: Text that one task learns from in a round, about, so that lanes hold many documents and end together.
+_SHARD_BYTES = 16 << 20
+#: Tokens that are laid out in lanes at once.
+_SHARD_TOKENS = 3_000_000
 #: Parameters are averaged in so many groups of shards before they come together.
 _GROUPS = 16
 _GROUP_BYTES = 8 << 20
 _RARE, _END = 0, 1
+#: Tokens whose likelihoods are found at once.
+_AT_ONCE = 8192
 _LN10 = np.log(10.0)
 
 
-def _sigmoid(x: np.ndarray) -> np.ndarray:
-    return 0.5 * (np.tanh(0.5 * x) + 1.0)
-
-
 #: Scores below this neither overflow a float's exponential nor, negated, lose it.
 _SMALL = 40.0
 
@@ -56,6 +58,16 @@ def _shapes(classes: int) -> dict[str, tuple[int, ...]]:
     }
 
 
+def _views(flat: np.ndarray, classes: int) -> dict[str, np.ndarray]:
+    """The parameters as parts of one array."""
+    values, at = {}, 0
+    for name, shape in _shapes(classes).items():
+        size = int(np.prod(shape))
+        values[name] = flat[at : at + size].reshape(shape)
+        at += size
+    return values
+
+
 @dataclass
 class Network:
     """Gated recurrent units; a word is predicted as its class, and then as itself within the class."""
@@ -86,21 +98,25 @@ class Network:
 
     @classmethod
     def from_flat(cls, flat: np.ndarray, classes: int) -> Network:
-        values, at = {}, 0
-        for name, shape in _shapes(classes).items():
-            size = int(np.prod(shape))
-            values[name] = flat[at : at + size].reshape(shape).astype(np.float32)
-            at += size
-        return cls(values)
+        return cls(_views(flat.astype(np.float32), classes))
 
     def step(self, gates: np.ndarray, state: np.ndarray) -> tuple[np.ndarray, ...]:
         """The next state, and what the gradient needs."""
         h = HIDDEN
         recurrent = state @ self.values["recurrent"]
-        both = _sigmoid(gates[:, : 2 * h] + recurrent[:, : 2 * h])
+        both = gates[:, : 2 * h] + recurrent[:, : 2 * h]
+        both *= 0.5
+        np.tanh(both, out=both)
+        both += 1.0
+        both *= 0.5
         update, reset = both[:, :h], both[:, h:]
-        new = np.tanh(gates[:, 2 * h :] + reset * recurrent[:, 2 * h :])
-        return new + update * (state - new), update, reset, new, recurrent[:, 2 * h :]
+        new = reset * recurrent[:, 2 * h :]
+        new += gates[:, 2 * h :]
+        np.tanh(new, out=new)
+        after = state - new
+        after *= update
+        after += new
+        return after, update, reset, new, recurrent[:, 2 * h :]
 
     def log_likelihood(self, states: np.ndarray, targets: np.ndarray, slopes: dict | None = None) -> np.ndarray:
         """Of each target given its state; with ``slopes``, also the gradient of the negated sum."""
@@ -110,39 +126,44 @@ class Network:
         small = _largest(v["class_weight"].T, v["class_bias"]) < _SMALL and _largest(v["word_weight"], v["word_bias"]) < _SMALL
         if not small:
             scores -= scores.max(axis=1, keepdims=True)
-        shares = np.exp(scores)
-        totals = shares.sum(axis=1, keepdims=True)
-        classes = targets // CLASS_SIZE
+        classes = (targets // CLASS_SIZE).astype(np.int16)
         rows = np.arange(len(targets))
-        out = scores[rows, classes] - np.log(totals[:, 0])
+        out = scores[rows, classes]
+        shares = np.exp(scores, out=scores)
+        totals = shares @ np.ones(shares.shape[1], shares.dtype)
+        out -= np.log(totals)
+        # Targets of one class are neighbours, so a class is a slice of one array.
+        order = np.argsort(classes, kind="stable")
+        cuts = np.searchsorted(classes[order], np.arange(shares.shape[1] + 1)).tolist()
+        held = [(slice(a, b), slice(k * CLASS_SIZE, (k + 1) * CLASS_SIZE)) for k, (a, b) in enumerate(zip(cuts, cuts[1:])) if a < b]
+        states, place = states[order], targets[order] % CLASS_SIZE
+        inner = np.empty((len(targets), CLASS_SIZE), dtype=scores.dtype)
+        for own, block in held:
+            np.matmul(states[own], v["word_weight"][block].T, out=inner[own])
+            inner[own] += v["word_bias"][block]
+        if not small:
+            inner -= inner.max(axis=1, keepdims=True)
+        found = inner[rows, place]
+        share = np.exp(inner, out=inner)
+        total = share @ np.ones(CLASS_SIZE, share.dtype)
+        found -= np.log(total)
+        out[order] += found
         if slopes is not None:
-            shares /= totals
+            shares /= totals[:, None]
             shares[rows, classes] -= 1
+            share /= total[:, None]
+            share[rows, place] -= 1
+            shares = shares[order]
             slopes["class_weight"] = states.T @ shares
             slopes["class_bias"] = shares.sum(axis=0)
-            slopes["states"] = shares @ v["class_weight"].T
             slopes["word_weight"], slopes["word_bias"] = np.zeros_like(v["word_weight"]), np.zeros_like(v["word_bias"])
-        order = np.argsort(classes, kind="stable")
-        cuts = np.searchsorted(classes[order], np.arange(scores.shape[1] + 1))
-        for k in range(scores.shape[1]):
-            own = order[cuts[k] : cuts[k + 1]]
-            if not len(own):
-                continue
-            block = slice(k * CLASS_SIZE, (k + 1) * CLASS_SIZE)
-            inner = states[own] @ v["word_weight"][block].T + v["word_bias"][block]
-            if not small:
-                inner -= inner.max(axis=1, keepdims=True)
-            share = np.exp(inner)
-            total = share.sum(axis=1, keepdims=True)
-            place = targets[own] - k * CLASS_SIZE
-            at = np.arange(len(own))
-            out[own] += inner[at, place] - np.log(total[:, 0])
-            if slopes is not None:
-                share /= total
-                share[at, place] -= 1
-                slopes["word_weight"][block] = share.T @ states[own]
-                slopes["word_bias"][block] = share.sum(axis=0)
-                slopes["states"][own] += share @ v["word_weight"][block]
+            above = shares @ v["class_weight"].T
+            for own, block in held:
+                slopes["word_weight"][block] = share[own].T @ states[own]
+                slopes["word_bias"][block] = share[own].sum(axis=0)
+                above[own] += share[own] @ v["word_weight"][block]
+            slopes["states"] = np.empty_like(above)
+            slopes["states"][order] = above
         return out
 
 
@@ -196,9 +217,11 @@ def score_documents(
     before, goes_on = _inputs(tokens, owner, network.start_row)
     gates = network.values["embedding"] @ network.values["input"] + network.values["input_bias"]
     state = np.zeros((tokens.shape[1], HIDDEN), dtype=np.float32)
-    for low in range(0, len(tokens), WINDOW):
-        high = min(low + WINDOW, len(tokens))
+    low = high = 0
+    while high < len(tokens):
+        low = high
         n = int((sizes > low).sum())  # lanes that still run are the first ones
+        high = min(low + max(WINDOW, _AT_ONCE // n), len(tokens))
         states = np.empty((high - low, n, HIDDEN), dtype=np.float32)
         state = state[:n]
         for t in range(low, high):
@@ -212,32 +235,39 @@ def score_documents(
     return out
 
 
-def train_on(network: Network, documents: list[np.ndarray], width: int = 48, rate: float = 0.01) -> Network:
-    """One pass of truncated backpropagation: a step of Adam for each window, with the state carried into it."""
+def train_on(network: Network, documents: list[np.ndarray], width: int = 128, rate: float = 0.01, note=None) -> Network:
+    """One pass of truncated backpropagation: a step of Adam for each window, with the state carried into it.
+
+    ``note`` is told the log-likelihoods of each window's tokens, by the network before it learns from them.
+    """
     if not documents:
         return network
-    values = {name: value.copy() for name, value in network.values.items()}
-    network = Network(values)
-    first = {name: np.zeros_like(value) for name, value in values.items()}
-    second = {name: np.zeros_like(value) for name, value in values.items()}
-    tokens, owner, _ = _laid_out(documents, width)
+    flat = network.flat()
+    network = Network(_views(flat, len(network.values["class_bias"])))
+    first, second = np.zeros_like(flat), np.zeros_like(flat)
+    tokens, owner, sizes = _laid_out(documents, width)
     before, goes_on = _inputs(tokens, owner, network.start_row)
     state = np.zeros((tokens.shape[1], HIDDEN), dtype=np.float32)
     for number, low in enumerate(range(0, len(tokens), WINDOW), 1):
-        part = slice(low, min(low + WINDOW, len(tokens)))
-        slopes, state = window_slopes(network, before[part], tokens[part], owner[part] >= 0, goes_on[part], state)
-        scale = 1.0 / max(1, int((owner[part] >= 0).sum()))
-        for name, slope in slopes.items():
-            slope = np.clip(slope * scale, -1.0, 1.0)
-            first[name] += 0.1 * (slope - first[name])
-            second[name] += 0.01 * (slope**2 - second[name])
-            mean, square = first[name] / (1 - 0.9**number), second[name] / (1 - 0.99**number)
-            values[name] -= rate * mean / (np.sqrt(square) + 1e-7)
+        n = int((sizes > low).sum())  # lanes that still run are the first ones
+        part = slice(low, min(low + WINDOW, len(tokens))), slice(0, n)
+        real = owner[part] >= 0
+        slopes, state = window_slopes(network, before[part], tokens[part], real, goes_on[part], state[:n], note)
+        slope = np.concatenate([slopes[name].ravel() for name in _shapes(1)])
+        slope *= 1.0 / max(1, int(real.sum()))
+        np.clip(slope, -1.0, 1.0, out=slope)
+        first *= 0.9
+        first += 0.1 * slope
+        second *= 0.99
+        second += 0.01 * np.square(slope, out=slope)
+        spread = np.sqrt(second * (1 / (1 - 0.99**number)), out=slope)
+        spread += 1e-7
+        flat -= (rate / (1 - 0.9**number)) * first / spread
     return network
 
 
 def window_slopes(
-    network: Network, before: np.ndarray, tokens: np.ndarray, real: np.ndarray, goes_on: np.ndarray, state: np.ndarray
+    network: Network, before: np.ndarray, tokens: np.ndarray, real: np.ndarray, goes_on: np.ndarray, state: np.ndarray, note=None
 ) -> tuple[dict[str, np.ndarray], np.ndarray]:
     """The gradient of a window's negated log-likelihood, by backpropagation to its first step, and the state after it."""
     values, h = network.values, HIDDEN
@@ -252,28 +282,44 @@ def window_slopes(
         kept.append(rest)
     flat_real = real.ravel()
     slopes: dict[str, np.ndarray] = {}
-    network.log_likelihood(states.reshape(-1, h)[flat_real], tokens.ravel()[flat_real], slopes)
+    targets = tokens.ravel()[flat_real]
+    found = network.log_likelihood(states.reshape(-1, h)[flat_real], targets, slopes)
+    if note is not None:
+        note(found, targets)
     above = np.zeros((flat_real.size, h), dtype=gates.dtype)
     above[flat_real] = slopes.pop("states")
     above = above.reshape(states.shape)
+    update, reset, new, candidate = (np.stack(parts) for parts in zip(*kept))
+    olds = np.stack(olds)
+    # What each gate's slope is to that of the state, for all steps at once.
+    by_update = (olds - new) * update * (1 - update)
+    by_new = (1 - update) * (1 - new**2)
+    by_reset = candidate * reset * (1 - reset)
     d_gates = np.empty_like(gates)
     d_recurrent = np.empty_like(gates)
+    back = np.ascontiguousarray(values["recurrent"].T)
     later = np.zeros_like(state)
     for t in range(len(tokens) - 1, -1, -1):
-        update, reset, new, candidate = kept[t]
-        d = above[t] + later
-        d_update = d * (olds[t] - new) * update * (1 - update)
-        d_new = d * (1 - update) * (1 - new**2)
-        d_reset = d_new * candidate * reset * (1 - reset)
-        d_gates[t] = np.concatenate([d_update, d_reset, d_new], axis=1)
-        d_recurrent[t] = np.concatenate([d_update, d_reset, d_new * reset], axis=1)
-        later = (d * update + d_recurrent[t] @ values["recurrent"].T) * goes_on[t, :, None]
+        d = above[t]
+        d += later
+        own, to_state = d_gates[t], d_recurrent[t]
+        np.multiply(d, by_update[t], out=own[:, :h])
+        d_new = np.multiply(d, by_new[t], out=own[:, 2 * h :])
+        np.multiply(d_new, by_reset[t], out=own[:, h : 2 * h])
+        to_state[:, : 2 * h] = own[:, : 2 * h]
+        np.multiply(d_new, reset[t], out=to_state[:, 2 * h :])
+        later = to_state @ back
+        d *= update[t]
+        later += d
+        later *= goes_on[t, :, None]
     flat = d_gates.reshape(-1, 3 * h)
-    slopes["recurrent"] = np.stack(olds).reshape(-1, h).T @ d_recurrent.reshape(-1, 3 * h)
+    slopes["recurrent"] = olds.reshape(-1, h).T @ d_recurrent.reshape(-1, 3 * h)
     slopes["input"] = embedded.reshape(-1, EMBEDDING).T @ flat
     slopes["input_bias"] = flat.sum(axis=0)
     slopes["embedding"] = np.zeros_like(values["embedding"])
-    np.add.at(slopes["embedding"], before.ravel(), flat @ values["input"].T)
+    order = np.argsort(before.ravel(), kind="stable")
+    rows, begin = np.unique(before.ravel()[order], return_index=True)
+    slopes["embedding"][rows] = np.add.reduceat(flat[order] @ values["input"].T, begin, axis=0)
     return slopes, state
 
 
@@ -282,37 +328,84 @@ def words_of(text: bytes) -> list[bytes]:
     return text.lower().split()
 
 
-def _texts(batch: pa.RecordBatch) -> list[bytes]:
-    return [t.as_buffer().to_pybytes() for t in batch.column(batch.num_columns - 1)]
+@dataclass
+class _Words:
+    """A block's different words in the order of their hashes, so that a bucket's are neighbours, whatever the buckets' number."""
 
+    hashes: np.ndarray
+    counts: np.ndarray  # in the block's training documents
+    joined: bytes
 
-def _by_bucket(words: set[bytes], buckets: int) -> dict[int, list[bytes]]:
-    out: dict[int, list[bytes]] = {}
-    for word in sorted(words):
-        out.setdefault(zlib.crc32(word) % buckets, []).append(word)
-    return out
+    def packed(self) -> bytes:
+        parts = np.int64(len(self.hashes)).tobytes(), self.hashes.tobytes(), self.counts.tobytes(), self.joined
+        return zstandard.ZstdCompressor(level=3).compress(b"".join(parts))
+
+    @classmethod
+    def unpacked(cls, packed: bytes) -> _Words:
+        data = zstandard.ZstdDecompressor().decompress(packed)
+        n = int(np.frombuffer(data, np.int64, 1)[0])
+        return cls(np.frombuffer(data, np.uint32, n, 8), np.frombuffer(data, np.int64, n, 8 + 4 * n), data[8 + 12 * n :])
+
+    def each(self) -> list[bytes]:
+        return self.joined.split(b" ") if len(self.hashes) else []
+
+    def questions(self, buckets: int) -> Iterator[tuple[int, int, bytes]]:
+        """Bucket, number of words, and the counts and words, for each bucket that has words."""
+        bucket = self.hashes.astype(np.int64) * buckets >> 32
+        numbers, begins = np.unique(bucket, return_index=True)
+        ends = np.append(begins[1:], len(bucket))
+        # Where words start among the joined bytes; no word holds a space.
+        starts = np.concatenate([[0], np.flatnonzero(np.frombuffer(self.joined, np.uint8) == 32) + 1, [len(self.joined) + 1]])
+        for number, begin, end in zip(numbers.tolist(), begins.tolist(), ends.tolist()):
+            words = self.joined[starts[begin] : starts[end] - 1]
+            yield number, end - begin, self.counts[begin:end].tobytes() + words
+
+
+def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Blocks of documents as places among the block's different words."""
+    for batch in small_batches(batches, "__text", exchange.BLOCK_BYTES):
+        texts = [t.as_buffer().to_pybytes() for t in batch.column(2)]
+        cut = [words_of(text) for text in texts]
+        found = list(set().union(*cut))
+        hashes = np.fromiter(map(zlib.crc32, found), np.uint32, len(found))
+        order = np.argsort(hashes)
+        each = [found[k] for k in order.tolist()]
+        place = dict(zip(each, range(len(each))))
+        tokens = [np.fromiter(map(place.__getitem__, words), np.int32, len(words)) for words in cut]
+        learned = [own for own, number in zip(tokens, batch.column(1).to_pylist()) if number >= 0]
+        counts = np.bincount(np.concatenate([*learned, np.zeros(0, np.int32)]), minlength=len(each)).astype(np.int64)
+        words = _Words(hashes[order], counts, b" ".join(each))
+        kept = pa.RecordBatch.from_arrays([*batch.columns[:2], pa.array([own.tobytes() for own in tokens], pa.binary())], names=_KEPT)
+        sink = pa.BufferOutputStream()
+        with pa.ipc.new_stream(sink, kept.schema) as stream:
+            stream.write_batch(kept)
+        packed = zstandard.ZstdCompressor(level=3).compress(sink.getvalue())
+        columns = [[sum(map(len, texts))], [len(learned)], [packed], [words.packed()]]
+        yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["size", "learned", "packed", "words"])
+
+
+_KEPT = ["__key", "__round", "__tokens"]
+
+
+def _rows(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
+    for whole in batches:
+        for k in range(whole.num_rows):
+            yield whole.slice(k, 1).to_pylist()[0]
+
+
+def _places(batch: pa.RecordBatch) -> list[np.ndarray]:
+    return [np.frombuffer(t.as_buffer(), np.int32) for t in batch.column(2)]
 
 
 def _ask_counts(buckets: int):
     """Each block's different words, with their counts in its training documents."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for whole in batches:
-            for k in range(whole.num_rows):
-                row = whole.slice(k, 1).to_pylist()[0]
-                batch = exchange.unpacked(row["packed"])
-                known: Counter[bytes] = Counter()
-                words: set[bytes] = set()
-                for text, learned in zip(_texts(batch), batch.column(batch.schema.get_field_index("__learn")).to_pylist()):
-                    if learned:
-                        known.update(words_of(text))
-                    else:
-                        words.update(words_of(text))
-                asked = _by_bucket(words | known.keys(), buckets)
-                packed = [np.array([known[w] for w in own], dtype="<i8").tobytes() + b" ".join(own) for own in asked.values()]
-                columns = [pa.array(list(asked), pa.int64()), pa.array([row["block"]] * len(asked), pa.int64())]
-                sizes = pa.array([len(own) for own in asked.values()], pa.int64())
-                yield pa.RecordBatch.from_arrays([*columns, sizes, pa.array(packed, pa.binary())], names=["bucket", "block", "n", "question"])
+        for row in _rows(batches):
+            asked = list(_Words.unpacked(row["words"]).questions(buckets))
+            columns = [pa.array([a[0] for a in asked], pa.int64()), pa.array([row["block"]] * len(asked), pa.int64())]
+            columns += [pa.array([a[1] for a in asked], pa.int64()), pa.array([a[2] for a in asked], pa.binary())]
+            yield pa.RecordBatch.from_arrays(columns, names=["bucket", "block", "n", "question"])
 
     return run
 
@@ -399,105 +492,110 @@ class Mixture:
         return cls(share, np.log(counts / counts.sum()))
 
 
-def _tokens(text: bytes, vocabulary: dict[bytes, int]) -> np.ndarray:
-    return np.array([*(vocabulary.get(word, _RARE) for word in words_of(text)), _END], dtype=np.int32)
+def _numbers(words: list[bytes], vocabulary: dict[bytes, int]) -> np.ndarray:
+    """The network's number of each word."""
+    return np.fromiter((vocabulary.get(word, _RARE) for word in words), dtype=np.int32, count=len(words))
+
+
+class _Gains:
+    """How often the network is that much above the base, in steps of a twentieth."""
+
+    MOST = 20 * 20
+
+    def __init__(self, counts: np.ndarray) -> None:
+        self.base = np.log(counts / counts.sum())
+        self.times = np.zeros(2 * self.MOST + 1, np.int64)
+
+    def note(self, found: np.ndarray, targets: np.ndarray) -> None:
+        steps = np.rint(np.clip((found - self.base[targets]) * 20, -self.MOST, self.MOST)).astype(np.int64)
+        self.times += np.bincount(steps + self.MOST, minlength=len(self.times))
+
+    @classmethod
+    def mixture(cls, counts: np.ndarray, times: np.ndarray) -> Mixture:
+        some = np.flatnonzero(times)
+        return Mixture.fit(counts, (some - cls.MOST) / 20, times[some])
 
 
 def _mean(group: pa.Table) -> pa.Table:
-    """Parameters averaged by the tokens that they have seen."""
+    """Parameters averaged by the tokens that they have seen, and the sum of what was noted."""
     weights = group["weight"].to_numpy().astype(np.float64)
     total = sum(w * np.frombuffer(v.as_py(), np.float32) for w, v in zip(weights, group["value"]))
     value = (total / weights.sum()).astype(np.float32).tobytes()
-    return pa.table({"weight": pa.array([int(weights.sum())], pa.int64()), "value": pa.array([value], pa.binary())})
+    times = sum(np.frombuffer(v.as_py(), np.int64) for v in group["times"]).tobytes()
+    columns = [pa.array([int(weights.sum())], pa.int64()), pa.array([value], pa.binary()), pa.array([times], pa.binary())]
+    return pa.Table.from_arrays(columns, names=["weight", "value", "times"])
+
 
+_LEARNED = "weight long, value binary, times binary"
 
-def _slices(docs: DataFrame, rounds: int, share: float, total_bytes: int) -> str:
-    """Write a slice of the training documents for each round and one more, drawn by the key's hash; returns the folder."""
-    shards = max(1, round(total_bytes * share / _SHARD_BYTES))
-    number = F.floor(uniform(F.col("__key")) / share).cast("int")
-    shard = F.pmod(F.xxhash64("__key", F.lit("shard")), F.lit(shards)).cast("int")
-    sample = docs.where("__learn").select("__text", number.alias("slice"), shard.alias("shard")).where(F.col("slice") <= rounds)
-    folder = scratch_folder(docs.sparkSession, "slices")
-    dealt = sample.repartitionById((rounds + 1) * shards, F.col("slice") * shards + F.col("shard"))
-    dealt.drop("shard").write.partitionBy("slice").parquet(folder)
-    return folder
 
+def _train(stored: DataFrame, corpus: Corpus, total_bytes: int, rounds: int) -> tuple[Network, Mixture]:
+    """Rounds of local training, each over documents of its own, all together over all that are learned from.
 
-def _train(docs: DataFrame, corpus: Corpus, total_bytes: int, rounds: int, share: float) -> tuple[Network, Mixture]:
-    """Rounds of local training, each over documents of its own, whose parameters are averaged by tokens."""
-    spark = docs.sparkSession
+    The parameters are averaged by tokens after each round. The mixture's share makes the training documents
+    likeliest, each by the network as it is before it learns from that document's window.
+    """
+    spark = stored.sparkSession
     network = Network.start(corpus.counts)
     classes = WORDS // CLASS_SIZE
-    stored = spark.read.schema("__text binary, slice int").parquet(_slices(docs, rounds, share, total_bytes))
     vocabulary = spark.sparkContext.broadcast(corpus.vocabulary)
+    counts = corpus.counts
+    shards = max(1, round(total_bytes / rounds / _SHARD_BYTES))
+    dealt = stored.where("learned > 0").select("packed", "words").coalesce(shards)
+    times = np.zeros_like(_Gains(counts).times)
     for number in range(rounds):
         flat = spark.sparkContext.broadcast(network.flat())
 
-        def run(batches: Iterator[pa.RecordBatch], flat=flat) -> Iterator[pa.RecordBatch]:
-            local, weight = Network.from_flat(flat.value, classes), 0
-            for batch in small_batches(batches, "__text", _SHARD_BYTES):
-                documents = [_tokens(text, vocabulary.value) for text in _texts(batch)]
-                local = train_on(local, documents)
-                weight += sum(map(len, documents))
+        def run(batches: Iterator[pa.RecordBatch], flat=flat, number=number) -> Iterator[pa.RecordBatch]:
+            local, weight, gains = Network.from_flat(flat.value, classes), 0, _Gains(counts)
+            documents: list[np.ndarray] = []
+            held = 0
+            for row in _rows(batches):
+                batch, ids = exchange.unpacked(row["packed"]), _numbers(_Words.unpacked(row["words"]).each(), vocabulary.value)
+                own = batch.column(1).to_numpy() == number
+                documents += [np.append(ids[at], np.int32(_END)) for at, chosen in zip(_places(batch), own) if chosen]
+                held += sum(len(at) + 1 for at, chosen in zip(_places(batch), own) if chosen)
+                if held > _SHARD_TOKENS:
+                    local, documents, weight, held = train_on(local, documents, note=gains.note), [], weight + held, 0
+            local, weight = train_on(local, documents, note=gains.note), weight + held
             if weight:
-                value = pa.array([local.flat().astype(np.float32).tobytes()], pa.binary())
-                yield pa.RecordBatch.from_arrays([pa.array([weight], pa.int64()), value], names=["weight", "value"])
+                columns = [pa.array([weight], pa.int64()), pa.array([local.flat().tobytes()]), pa.array([gains.times.tobytes()])]
+                yield pa.RecordBatch.from_arrays(columns, names=["weight", "value", "times"])
 
-        trained = stored.where(F.col("slice") == number).select("__text").mapInArrow(run, "weight long, value binary")
-        grouped = trained.groupBy(F.pmod(F.spark_partition_id(), F.lit(_GROUPS)).alias("part"))
-        found = grouped.applyInArrow(_mean, "weight long, value binary").toArrow()
+        grouped = dealt.mapInArrow(run, _LEARNED).groupBy(F.pmod(F.spark_partition_id(), F.lit(_GROUPS)).alias("part"))
+        found = grouped.applyInArrow(_mean, _LEARNED).toArrow()
         if found.num_rows:
-            network = Network.from_flat(np.frombuffer(_mean(found)["value"][0].as_py(), np.float32), classes)
-    flat = spark.sparkContext.broadcast(network.flat())
-    start = Mixture(0.5, np.log(corpus.counts / corpus.counts.sum()))
-
-    def gains(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """How often the network is that much above the base, in steps of a twentieth."""
-        local, seen = Network.from_flat(flat.value, classes), Counter()
-
-        def note(found: np.ndarray, targets: np.ndarray) -> np.ndarray:
-            steps = np.rint(np.clip(found - start.base[targets], -20, 20) * 20).astype(np.int64)
-            seen.update(dict(zip(*(x.tolist() for x in np.unique(steps, return_counts=True)))))
-            return found
-
-        for batch in small_batches(batches, "__text", _GROUP_BYTES):
-            score_documents(local, [_tokens(text, vocabulary.value) for text in _texts(batch)], mixed=note)
-        yield pa.RecordBatch.from_arrays([pa.array(list(seen), pa.int64()), pa.array(list(seen.values()), pa.int64())], names=["step", "n"])
-
-    noted = stored.where(F.col("slice") == rounds).select("__text").mapInArrow(gains, "step long, n long")
-    noted = noted.groupBy("step").agg(F.sum("n").alias("n")).toArrow().sort_by("step")
-    return network, Mixture.fit(corpus.counts, noted["step"].to_numpy() / 20, noted["n"].to_numpy())
+            found = _mean(found)
+            network = Network.from_flat(np.frombuffer(found["value"][0].as_py(), np.float32), classes)
+            times = times + np.frombuffer(found["times"][0].as_py(), np.int64)
+    return network, _Gains.mixture(counts, times)
 
 
-def score(
-    docs: DataFrame, learn: Column, key: str = "doc_id", text: str = "text", rounds: int = ROUNDS, share: float = ROUND_SHARE
-) -> DataFrame:
+def score(docs: DataFrame, learn: Column, key: str = "doc_id", text: str = "text", rounds: int = ROUNDS) -> DataFrame:
     """Log10 probabilities of whole documents: of the model, and of the unigram base.
 
     Returns ``key``, ``n_tokens``, ``n_known``, ``train_tokens``, ``base_score`` and ``score``.
     Tokens are a text's words and one end. Counts are over all rows for which ``learn``
-    holds; the network's gradients see a ``share`` of these rows in each of the ``rounds``, drawn by the
-    key's hash, others each time and in the same proportion at every size. The network tells
-    apart the most frequent words; any other word's probability is that of a rare word times its
+    holds, and so are the network's gradients: each of these rows is in one of the ``rounds``, drawn by
+    the key's hash. The network tells apart the most frequent words; any other word's probability is that of a rare word times its
     share of the rare words' smoothed counts, so a probability is left for every word. A
     token's probability mixes the network's with the base's, in the proportion that
-    makes another ``share`` of the training rows likeliest. A null text is empty and has one token, the end; all rows, repeated ones too, are
-    kept and scored. If nothing is learned from, all tokens count zero times. An empty table gives
+    makes these rows likeliest, each before it is learned from. A null text is empty and has one
+    token, the end; all rows, repeated ones too, are kept and scored. If nothing is learned from, all tokens count zero times. An empty table gives
     an empty result.
     """
+    number = F.when(F.coalesce(learn, F.lit(False)), F.floor(uniform(docs[key]) * rounds).cast("int")).otherwise(-1)
     named = docs.select(
-        docs[key].alias("__key"),
-        F.coalesce(learn, F.lit(False)).alias("__learn"),
-        F.coalesce(docs[text], F.lit("")).cast("binary").alias("__text"),
+        docs[key].alias("__key"), number.alias("__round"), F.coalesce(docs[text], F.lit("")).cast("binary").alias("__text")
     )
     kind = docs.schema[key].dataType.simpleString()
-    stored = exchange.blocks(named.withColumn("t", F.col("__text").cast("string")), ["__key", "__learn"], "t")
+    stored = exchange.numbered(named.mapInArrow(_cut, "size long, learned long, packed binary, words binary"))
     buckets = exchange.n_buckets(stored, 0.5)
     asked = stored.mapInArrow(_ask_counts(buckets), "bucket long, block long, n long, question binary")
     replies = settle(asked.groupBy("bucket").applyInArrow(_sum_counts, _REPLY), "counts")
-    total = stored.agg(F.sum("size")).first()[0] or 0
-    corpus = _corpus(replies, named.where("__learn").count())
-    network, mixture = _train(named, corpus, total, rounds, share)
+    total, learned = stored.agg(F.coalesce(F.sum("size"), F.lit(0)), F.coalesce(F.sum("learned"), F.lit(0))).first()
+    corpus = _corpus(replies, learned)
+    network, mixture = _train(stored, corpus, total, rounds)
     context = docs.sparkSession.sparkContext
     shared = context.broadcast((network.flat(), mixture, corpus))
     answers = replies.where("block >= 0").groupBy("block").agg(F.collect_list(F.struct("bucket", "answer")).alias("answers"))
@@ -508,18 +606,16 @@ def score(
         rows: list[tuple] = []
         documents: list[np.ndarray] = []
         size = 0
-        for whole in batches:
-            for k in range(whole.num_rows):
-                row = whole.slice(k, 1).to_pylist()[0]
-                found = exchange.unpacked(row["packed"])
-                for item in _counted(found, row["round_0"], buckets, corpus):
-                    rows.append(item[:-1])
-                    documents.append(item[-1])
-                size += row["size"]
-                if size > _GROUP_BYTES:
-                    yield _scored(network, mixture, rows, documents, corpus, found.schema.field("__key").type)
-                    rows, documents, size = [], [], 0
-                kept_type = found.schema.field("__key").type
+        for row in _rows(batches):
+            found = exchange.unpacked(row["packed"])
+            for item in _counted(found, _Words.unpacked(row["words"]), row["round_0"], corpus):
+                rows.append(item[:-1])
+                documents.append(item[-1])
+            size += row["size"]
+            kept_type = found.schema.field("__key").type
+            if size > _GROUP_BYTES:
+                yield _scored(network, mixture, rows, documents, corpus, kept_type)
+                rows, documents, size = [], [], 0
         if rows:
             yield _scored(network, mixture, rows, documents, corpus, kept_type)
 
@@ -528,26 +624,20 @@ def score(
     return scored.withColumnRenamed("__key", key)
 
 
-def _counted(batch: pa.RecordBatch, answers: list[dict] | None, buckets: int, corpus: Corpus) -> Iterator[tuple]:
+def _counted(batch: pa.RecordBatch, words: _Words, answers: list[dict] | None, corpus: Corpus) -> Iterator[tuple]:
     """Key, tokens, known tokens, base score, what rare words add, and the network's tokens, of each document."""
-    cut = [words_of(text) for text in _texts(batch)]
-    different = {word for words in cut for word in words}
-    told = {pair["bucket"]: np.frombuffer(pair["answer"], dtype="<i8") for pair in answers or ()}
-    place: dict[bytes, int] = {}
-    counts = []
-    for bucket, own in _by_bucket(different, buckets).items():
-        place.update(zip(own, range(len(place), len(place) + len(own))))
-        counts.append(told[bucket])
-    count = np.concatenate([*counts, np.zeros(0, np.int64)])
-    ids = np.fromiter((corpus.vocabulary.get(word, _RARE) for word in place), dtype=np.int32, count=len(place))
+    told = sorted(answers or (), key=lambda pair: pair["bucket"])
+    count = np.concatenate([*(np.frombuffer(pair["answer"], dtype="<i8") for pair in told), np.zeros(0, np.int64)])
+    ids = _numbers(words.each(), corpus.vocabulary)
     logs = np.log10(count + 0.5)
     rare = np.where(ids == _RARE, logs - np.log10(corpus.counts[_RARE]), 0.0)
+    known = (count > 0).astype(np.int64)
     end = np.log10(corpus.documents + 0.5)
-    for key, words in zip(batch.column(0).to_pylist(), cut):
-        at = np.fromiter(map(place.__getitem__, words), dtype=np.int64, count=len(words))
-        known = int((count[at] > 0).sum()) + (corpus.documents > 0)
-        base = float(logs[at].sum() + end - (len(words) + 1) * np.log10(corpus.mass))
-        yield key, len(words) + 1, known, base, float(rare[at].sum()), np.append(ids[at], np.int32(_END))
+    mass = np.log10(corpus.mass)
+    for key, at in zip(batch.column(0).to_pylist(), _places(batch)):
+        n = len(at) + 1
+        base = float(logs[at].sum() + end - n * mass)
+        yield key, n, int(known[at].sum()) + (corpus.documents > 0), base, float(rare[at].sum()), np.append(ids[at], np.int32(_END))
 
 
 def _scored(
