@@ -55,13 +55,18 @@ class Text:
 
     def fingerprint(self, start: np.ndarray, end: np.ndarray) -> np.ndarray:
         """Of the strings from start to end (and their lengths)."""
-        value = (self._sums[end] - self._sums[start]) * self._back[start]
-        value += (end - start).astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93)
-        value ^= value >> np.uint64(32)
+        value = self._sums[end]
+        value -= self._sums[start]
+        value *= self._back[start]
+        other = (end - start).view(np.uint64)
+        other *= np.uint64(0xD6E8FEB86659FD93)
+        value += other
+        value ^= np.right_shift(value, np.uint64(32), out=other)
         value *= np.uint64(0xD6E8FEB86659FD93)
-        value ^= value >> np.uint64(29)
+        value ^= np.right_shift(value, np.uint64(29), out=other)
         value *= _MULTIPLIER
-        return value ^ value >> np.uint64(32)
+        value ^= np.right_shift(value, np.uint64(32), out=other)
+        return value
 
     def _document(self, at: np.ndarray) -> np.ndarray:
         return np.searchsorted(self.ends, at, side="right")
@@ -83,10 +88,10 @@ class Text:
 
 def _by_bucket(keys: np.ndarray, buckets: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """The keys' order by bucket, the buckets there are, and where each ends in that order."""
-    bucket = (keys >> np.uint64(40)) % np.uint64(buckets)
-    order = np.argsort(bucket, kind="stable")
-    numbers, sizes = np.unique(bucket, return_counts=True)
-    return order, numbers, np.cumsum(sizes)
+    bucket = ((keys >> np.uint64(40)) % np.uint64(buckets)).astype(np.int32)
+    sizes = np.bincount(bucket, minlength=buckets)
+    numbers = np.flatnonzero(sizes)
+    return np.argsort(bucket, kind="stable"), numbers, np.cumsum(sizes[numbers])
 
 
 def _packed(keys: np.ndarray, buckets: int, extra: np.ndarray | None = None) -> Iterator[tuple[int, bytes]]:
@@ -111,16 +116,36 @@ def _spread(answers: list[dict] | None, keys: np.ndarray, buckets: int) -> np.nd
 
 def _once(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Each key, the places of all keys among these, and whether a key is there twice."""
-    unique, inverse, counts = np.unique(keys, return_inverse=True, return_counts=True)
-    return unique, inverse, counts > 1
+    order = np.argsort(keys)
+    found = keys[order]
+    new = _new(found)
+    unique = found[new]
+    del found
+    number = np.cumsum(new, dtype=np.int32)
+    number -= 1
+    inverse = np.empty(len(keys), dtype=np.int32)
+    inverse[order] = number
+    del order, number
+    return unique, inverse, ~np.append(new[1:], True)[new]
+
+
+def _new(ordered: np.ndarray) -> np.ndarray:
+    """Whether each key differs from the one before."""
+    new = np.ones(len(ordered), dtype=bool)
+    np.not_equal(ordered[1:], ordered[:-1], out=new[1:])
+    return new
 
 
 def _sorted_buckets(questions: list[bytes]) -> list[bytes]:
     """Whether another block asks the same key: one sort of the bucket."""
-    keys = [np.frombuffer(q, dtype=np.uint64) for q in questions]
-    _, inverse, twice = _once(np.concatenate(keys))
-    flags = twice[inverse].astype(np.uint8)
-    return [part.tobytes() for part in np.split(flags, np.cumsum([len(k) for k in keys])[:-1])]
+    parts = [np.frombuffer(q, dtype=np.uint64) for q in questions]
+    keys = np.concatenate(parts)
+    order = np.argsort(keys)
+    # As sorted: a key is there twice if it equals the one before or after.
+    new = _new(keys[order])
+    flags = np.empty(len(keys), dtype=np.uint8)
+    flags[order] = ~(new & np.append(new[1:], True))
+    return [part.tobytes() for part in np.split(flags, np.cumsum([len(k) for k in parts])[:-1])]
 
 
 #: Answers on tied samples: all is repeated; that, and others tie in less; tied in less only.
