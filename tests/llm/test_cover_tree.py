@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import tracemalloc
 from decimal import Decimal, getcontext
 
 import numpy as np
@@ -54,3 +55,15 @@ def test_empty_table_and_repeated_rows(spark):
     assert cover_tree.near_duplicates(frame.limit(0)).count() == 0
     rows = cover_tree.near_duplicates(frame).collect()
     assert sorted((r.n_links, r.component_id, r.kept, r.vec_id is None) for r in rows) == [(2, 1, False, True), (2, 1, True, False), (2, 1, True, False)]
+
+
+def test_pairs_of_centers_need_no_bound_each():
+    points = cover_tree.unit(np.random.default_rng(3).normal(size=(3000, 64)))
+    points[1500:1700] = cover_tree.unit(points[:200] + np.random.default_rng(4).normal(0, 0.03, (200, 64)))
+    tree = cover_tree.build(points)
+    tracemalloc.start()
+    got = {(int(i), int(j)) for rows, columns in cover_tree.dual_pairs(tree, tree, 0.9) for i, j in zip(rows, columns)}
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert got == {(int(i), int(j)) for i, j in zip(*np.nonzero(points @ points.T >= 0.9))} and len(got) > 3300
+    assert peak < 40e6  # a block's cosines are 12 MB

@@ -106,6 +106,11 @@ def build(points: np.ndarray) -> Tree:
     return Tree(points, order, *arrays, np.array(center), np.array(radius))
 
 
+def _least(bound: np.ndarray) -> np.ndarray:
+    """The least cosine of centers within a distance, with room for rounding."""
+    return (1 - np.minimum(bound, 2.0) ** 2 / 2 - 1e-5).astype(np.float32)
+
+
 def dual_pairs(a: Tree, b: Tree, threshold: float) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """Positions of all pairs of points with a cosine of ``threshold`` or more; both orders if ``a`` is ``b``.
 
@@ -127,9 +132,11 @@ def dual_pairs(a: Tree, b: Tree, threshold: float) -> Iterator[tuple[np.ndarray,
         for low in range(0, len(xs), _STEP):
             some = xs[low : low + _STEP]
             cosines = a.points[a.center[some]].astype(np.float32) @ centers.T
-            bounds = limit + a.radius[some][:, None] + b.radius[ys][None, :]
-            least = (1 - np.minimum(bounds, 2.0) ** 2 / 2 - 1e-5).astype(np.float32)
-            rows, columns = np.nonzero(cosines >= least)
+            # A cosine below that of the block's widest bound is pruned without a bound of its own.
+            rows, columns = np.nonzero(cosines >= _least(limit + a.radius[some].max() + b.radius[ys].max()))
+            own = _least(limit + a.radius[some][rows] + b.radius[ys][columns])
+            near = cosines[rows, columns] >= own
+            rows, columns = rows[near], columns[near]
             for i, j in zip(some[rows].tolist(), ys[columns].tolist()):
                 done = a.first[i] == a.last[i] and b.first[j] == b.last[j]
                 (leaves if done else stack).append((i, j))
