@@ -3,6 +3,9 @@
 from __future__ import annotations
 
 import math
+import tracemalloc
+import warnings
+import zlib
 
 import numpy as np
 import pytest
@@ -127,3 +130,46 @@ def test_every_training_token_is_learned_from(spark, monkeypatch):
     got = lm.score(docs, F.col("doc_id") % 5 != 1).collect()
     learned = [r for r in got if r.doc_id % 5 != 1]
     assert noted == [sum(r.n_tokens for r in learned)] == [got[0].train_tokens]
+
+
+def test_windows_fill_the_same_arrays_again():
+    random = np.random.default_rng(7)
+    start = lm.Network.start(random.integers(1, 50, lm.WORDS).astype(float))
+    docs = [random.integers(0, lm.WORDS, 12 * lm.WINDOW).astype(np.int32) for _ in range(128)]
+    grown, before = [], []
+
+    def note(found, targets):
+        now, most = tracemalloc.get_traced_memory()
+        grown.append(most - before[-1] if before else 0)
+        before.append(now)
+        tracemalloc.reset_peak()
+
+    tracemalloc.start()
+    try:
+        lm.train_on(start, docs, note=note)
+    finally:
+        tracemalloc.stop()
+    assert len(grown) == 12 and max(grown[2:]) < 2_000_000
+
+
+def test_steps_of_extreme_gates(network):
+    gates = np.array([-1e4, -100.0, -1.0, 0.0, 2.0, 100.0, 1e4])
+    gates = np.stack(np.meshgrid(gates, gates, gates), axis=-1).reshape(-1, 3).repeat(lm.HIDDEN, axis=1)
+    state = np.random.default_rng(8).uniform(-1, 1, (len(gates), lm.HIDDEN))
+    h, back = lm.HIDDEN, state @ network.values["recurrent"]
+    update, reset = (0.5 + 0.5 * np.tanh((gates + back)[:, k * h : (k + 1) * h] / 2) for k in (0, 1))
+    new = np.tanh(gates[:, 2 * h :] + reset * back[:, 2 * h :])
+    with warnings.catch_warnings():
+        warnings.simplefilter("error")
+        got = network.step(gates, state)[0]
+    np.testing.assert_allclose(got, new + update * (state - new), atol=1e-12)
+
+
+def test_words_of_one_hash_keep_their_own_numbers():
+    words = [b"a", b"buckeroo", b"plumless", b"zebra"]
+    assert zlib.crc32(b"buckeroo") == zlib.crc32(b"plumless")
+    words.sort(key=zlib.crc32)
+    packed = lm._Words(np.array([zlib.crc32(w) for w in words], np.uint32), np.ones(4, np.int64), b" ".join(words))
+    for vocabulary in ({}, {b"plumless": 2}, {b"buckeroo": 5, b"other": 3}, {b"plumless": 2, b"buckeroo": 4, b"zebra": 3}):
+        assert packed.numbers(vocabulary).tolist() == [vocabulary.get(w, lm._RARE) for w in words]
+    assert lm._Words(np.zeros(0, np.uint32), np.zeros(0, np.int64), b"").numbers({b"a": 2}).tolist() == []

@@ -3,9 +3,10 @@
 from __future__ import annotations
 
 import zlib
-from collections import Counter
+from collections import defaultdict
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import count
 
 import numpy as np
 import pyarrow as pa
@@ -39,9 +40,24 @@ _LN10 = np.log(10.0)
 _SMALL = 40.0
 
 
-def _largest(weights: np.ndarray, biases: np.ndarray) -> float:
-    """The most that a score can be from 0, for states within -1 and 1."""
-    return float((np.abs(weights).sum(axis=1) + np.abs(biases)).max())
+class _Room:
+    """Arrays by name that the next window fills again: the pages of new ones would take as long as the sums in them."""
+
+    def __init__(self) -> None:
+        self.held: dict[str, np.ndarray] = {}
+
+    def __call__(self, name: str, shape: tuple[int, ...], dtype: np.dtype) -> np.ndarray:
+        size = int(np.prod(shape))
+        flat = self.held.get(name)
+        if flat is None or flat.size < size or flat.dtype != dtype:
+            flat = self.held[name] = np.empty(size, dtype)
+        return flat[:size].reshape(shape)
+
+
+def _below(scores: np.ndarray) -> None:
+    """Take away each row's maximum, unless all scores are small."""
+    if scores.size and not (scores.max() < _SMALL and scores.min() > -_SMALL):
+        scores -= scores.max(axis=1, keepdims=True)
 
 
 def _shapes(classes: int) -> dict[str, tuple[int, ...]]:
@@ -101,72 +117,132 @@ class Network:
         return cls(_views(flat.astype(np.float32), classes))
 
     def step(self, gates: np.ndarray, state: np.ndarray) -> tuple[np.ndarray, ...]:
-        """The next state, and what the gradient needs."""
-        h = HIDDEN
-        recurrent = state @ self.values["recurrent"]
-        both = gates[:, : 2 * h] + recurrent[:, : 2 * h]
-        both *= 0.5
-        np.tanh(both, out=both)
-        both += 1.0
-        both *= 0.5
-        update, reset = both[:, :h], both[:, h:]
-        new = reset * recurrent[:, 2 * h :]
-        new += gates[:, 2 * h :]
-        np.tanh(new, out=new)
-        after = state - new
-        after *= update
-        after += new
-        return after, update, reset, new, recurrent[:, 2 * h :]
-
-    def log_likelihood(self, states: np.ndarray, targets: np.ndarray, slopes: dict | None = None) -> np.ndarray:
+        """The next state of each row, from its gates (update, reset and new, before the state's part)."""
+        made = _scaled(gates).T[None]
+        return (_Steps(self, made, np.ones((1, len(state)), made.dtype), _Room()).run(state.T).T,)
+
+    def log_likelihood(
+        self, states: np.ndarray, targets: np.ndarray, slopes: dict | None = None, room: _Room | None = None
+    ) -> np.ndarray:
         """Of each target given its state; with ``slopes``, also the gradient of the negated sum."""
-        v = self.values
-        scores = states @ v["class_weight"] + v["class_bias"]
-        # States are below 1, so the weights bound all scores; while these are small no exponential overflows.
-        small = _largest(v["class_weight"].T, v["class_bias"]) < _SMALL and _largest(v["word_weight"], v["word_bias"]) < _SMALL
-        if not small:
-            scores -= scores.max(axis=1, keepdims=True)
-        classes = (targets // CLASS_SIZE).astype(np.int16)
-        rows = np.arange(len(targets))
-        out = scores[rows, classes]
-        shares = np.exp(scores, out=scores)
-        totals = shares @ np.ones(shares.shape[1], shares.dtype)
-        out -= np.log(totals)
+        v, n, h = self.values, *states.shape
+        room, kind, n_classes = room or _Room(), states.dtype, len(v["class_bias"])
         # Targets of one class are neighbours, so a class is a slice of one array.
+        classes = (targets // CLASS_SIZE).astype(np.int16)
         order = np.argsort(classes, kind="stable")
-        cuts = np.searchsorted(classes[order], np.arange(shares.shape[1] + 1)).tolist()
+        cuts = [0, *np.bincount(classes, minlength=n_classes).cumsum().tolist()]
         held = [(slice(a, b), slice(k * CLASS_SIZE, (k + 1) * CLASS_SIZE)) for k, (a, b) in enumerate(zip(cuts, cuts[1:])) if a < b]
-        states, place = states[order], targets[order] % CLASS_SIZE
-        inner = np.empty((len(targets), CLASS_SIZE), dtype=scores.dtype)
+        # A last column of ones takes the biases into the products.
+        ordered = room("ordered", (n, h + 1), kind)
+        ordered[:, :h] = states.take(order, axis=0, out=room("taken", (n, h), kind), mode="clip")
+        ordered[:, h] = 1
+        word_weight = room("word_weight", (n_classes * CLASS_SIZE, h + 1), kind)
+        word_weight[:, :h], word_weight[:, h] = v["word_weight"], v["word_bias"]
+        class_weight = np.concatenate([v["class_weight"], v["class_bias"][None]])
+        scores = np.matmul(ordered, class_weight, out=room("scores", (n, n_classes), kind))
+        inner = room("inner", (n, CLASS_SIZE), kind)
         for own, block in held:
-            np.matmul(states[own], v["word_weight"][block].T, out=inner[own])
-            inner[own] += v["word_bias"][block]
-        if not small:
-            inner -= inner.max(axis=1, keepdims=True)
-        found = inner[rows, place]
-        share = np.exp(inner, out=inner)
-        total = share @ np.ones(CLASS_SIZE, share.dtype)
+            np.matmul(ordered[own], word_weight[block].T, out=inner[own])
+        _below(scores)
+        _below(inner)
+        rows = np.arange(n)
+        at_class, at_word = rows * n_classes + classes.take(order), rows * CLASS_SIZE + targets.take(order) % CLASS_SIZE
+        found = scores.ravel().take(at_class) + inner.ravel().take(at_word)
+        shares, share = np.exp(scores, out=scores), np.exp(inner, out=inner)
+        totals, total = shares @ np.ones(n_classes, kind), share @ np.ones(CLASS_SIZE, kind)
+        found -= np.log(totals)
         found -= np.log(total)
-        out[order] += found
+        out = np.empty_like(found)
+        out[order] = found
         if slopes is not None:
             shares /= totals[:, None]
-            shares[rows, classes] -= 1
+            shares.ravel()[at_class] -= 1
             share /= total[:, None]
-            share[rows, place] -= 1
-            shares = shares[order]
-            slopes["class_weight"] = states.T @ shares
-            slopes["class_bias"] = shares.sum(axis=0)
-            slopes["word_weight"], slopes["word_bias"] = np.zeros_like(v["word_weight"]), np.zeros_like(v["word_bias"])
-            above = shares @ v["class_weight"].T
+            share.ravel()[at_word] -= 1
+            by_class = ordered.T @ shares
+            by_word = room("by_word", word_weight.shape, kind)
+            by_word[:] = 0
+            above, part = room("above", (n, h), kind), room("taken", (n, h), kind)
+            np.matmul(shares, v["class_weight"].T, out=above)
             for own, block in held:
-                slopes["word_weight"][block] = share[own].T @ states[own]
-                slopes["word_bias"][block] = share[own].sum(axis=0)
-                above[own] += share[own] @ v["word_weight"][block]
-            slopes["states"] = np.empty_like(above)
+                np.matmul(share[own].T, ordered[own], out=by_word[block])
+                np.matmul(share[own], v["word_weight"][block], out=part[own])
+            above += part
+            slopes["class_weight"], slopes["class_bias"] = by_class[:h], by_class[h]
+            slopes["word_weight"], slopes["word_bias"] = by_word[:, :h], by_word[:, h]
+            slopes["states"] = room("by_states", (n, h), kind)
             slopes["states"][order] = above
         return out
 
 
+def _scaled(weights: np.ndarray) -> np.ndarray:
+    """Columns of update, reset and new as new, update and reset, by factors that leave an exponential to be all of a gate."""
+    return np.concatenate([weights[..., 2 * HIDDEN :] * -2, -weights[..., : 2 * HIDDEN]], axis=-1)
+
+
+class _Steps:
+    """A window of steps with a lane in each column, so that a gate of all lanes is one run of memory.
+
+    ``gates`` are scaled: their sigmoid is 1 / (1 + exp), their tanh 2 / (1 + exp) - 1. Unless ``keep`` is
+    set, all steps share the place of what only the gradient needs.
+    """
+
+    def __init__(self, network: Network, gates: np.ndarray, goes_on: np.ndarray, room: _Room, keep: bool = False) -> None:
+        n, _, width = gates.shape
+        h, kind = HIDDEN, gates.dtype
+        self.gates, self.goes_on = gates, goes_on
+        self.recurrent = np.ascontiguousarray(network.values["recurrent"].T * np.repeat(np.array([-1, -1, -2], kind), h)[:, None])
+        self.at = list(range(n)) if keep else [0] * n
+        kept = n if keep else 1
+        self.states = room("states", (n, h, width), kind)
+        self.olds, self.new, self.gap = (room(name, (kept, h, width), kind) for name in ("olds", "new", "gap"))
+        self.both = room("both", (kept, 2 * h, width), kind)  # update and reset
+        self.by_state = room("by_state", (kept, 3 * h, width), kind)
+
+    def run(self, state: np.ndarray) -> np.ndarray:
+        """From the state before the window to a copy of that after it."""
+        h, recurrent = HIDDEN, self.recurrent
+        with np.errstate(over="ignore"):  # 1 / (1 + inf) is the 0 that is meant
+            for at, gates, goes_on, after in zip(self.at, self.gates, self.goes_on, self.states):
+                old, new, gap, both, by_state = self.olds[at], self.new[at], self.gap[at], self.both[at], self.by_state[at]
+                np.multiply(state, goes_on, out=old)
+                np.matmul(recurrent, old, out=by_state)
+                np.add(gates[h:], by_state[: 2 * h], out=both)
+                np.exp(both, out=both)
+                both += 1
+                np.reciprocal(both, out=both)
+                np.multiply(both[h:], by_state[2 * h :], out=new)
+                new += gates[:h]
+                np.exp(new, out=new)
+                new += 1
+                np.divide(2, new, out=new)
+                new -= 1
+                np.subtract(old, new, out=gap)
+                np.multiply(gap, both[:h], out=after)
+                after += new
+                state = after
+        return state.copy()
+
+
+def _gates(network: Network, before: np.ndarray, room: _Room) -> tuple[np.ndarray, np.ndarray]:
+    """The embedding of each token before, with a one at the end, and its scaled gates."""
+    v = network.values
+    table = np.concatenate([v["embedding"], np.ones((len(v["embedding"]), 1), v["embedding"].dtype)], axis=1)
+    into = _scaled(np.concatenate([v["input"], v["input_bias"][None]]))
+    embedded = table.take(before, axis=0, out=room("embedded", (*before.shape, table.shape[1]), table.dtype), mode="clip")
+    gates = room("gates", (len(before), 3 * HIDDEN, before.shape[1]), table.dtype)
+    return embedded, np.matmul(into.T, embedded.transpose(0, 2, 1), out=gates)
+
+
+def _rows_of(lanes: np.ndarray, chosen: np.ndarray, room: _Room) -> np.ndarray:
+    """The chosen ones of the rows for each step and lane, from steps with lanes in columns."""
+    n, h, width = lanes.shape
+    rows = room("rows", (n, width, h), lanes.dtype)
+    np.copyto(rows, lanes.transpose(0, 2, 1))
+    rows = rows.reshape(-1, h)
+    return rows if len(chosen) == len(rows) else rows.take(chosen, axis=0)
+
+
 def lanes_of(lengths: np.ndarray, width: int) -> list[list[int]]:
     """Documents dealt to at most ``width`` lanes, longest first to the shortest lane; longest lane first."""
     import heapq
@@ -215,22 +291,21 @@ def score_documents(
         return out
     tokens, owner, sizes = _laid_out(documents, width)
     before, goes_on = _inputs(tokens, owner, network.start_row)
-    gates = network.values["embedding"] @ network.values["input"] + network.values["input_bias"]
-    state = np.zeros((tokens.shape[1], HIDDEN), dtype=np.float32)
+    room = _Room()
+    state = np.zeros((HIDDEN, tokens.shape[1]), dtype=np.float32)
     low = high = 0
     while high < len(tokens):
         low = high
         n = int((sizes > low).sum())  # lanes that still run are the first ones
         high = min(low + max(WINDOW, _AT_ONCE // n), len(tokens))
-        states = np.empty((high - low, n, HIDDEN), dtype=np.float32)
-        state = state[:n]
-        for t in range(low, high):
-            state = network.step(gates[before[t, :n]], state * goes_on[t, :n, None])[0]
-            states[t - low] = state
-        own = owner[low:high, :n].ravel()
-        real = own >= 0
-        targets = tokens[low:high, :n].ravel()[real]
-        found = mixed(network.log_likelihood(states.reshape(-1, HIDDEN)[real], targets), targets)
+        part = slice(low, high), slice(0, n)
+        _, gates = _gates(network, before[part], room)
+        steps = _Steps(network, gates, goes_on[part].astype(gates.dtype), room)
+        state = steps.run(state[:, :n])
+        own = owner[part].ravel()
+        real = np.flatnonzero(own >= 0)
+        targets = tokens[part].ravel()[real]
+        found = mixed(network.log_likelihood(_rows_of(steps.states, real, room), targets, room=room), targets)
         out += np.bincount(own[real], weights=found, minlength=len(out))
     return out
 
@@ -248,79 +323,105 @@ def train_on(network: Network, documents: list[np.ndarray], width: int = 128, ra
     tokens, owner, sizes = _laid_out(documents, width)
     before, goes_on = _inputs(tokens, owner, network.start_row)
     state = np.zeros((tokens.shape[1], HIDDEN), dtype=np.float32)
+    slope, moved, room = np.empty_like(flat), np.empty_like(flat), _Room()
     for number, low in enumerate(range(0, len(tokens), WINDOW), 1):
         n = int((sizes > low).sum())  # lanes that still run are the first ones
         part = slice(low, min(low + WINDOW, len(tokens))), slice(0, n)
         real = owner[part] >= 0
-        slopes, state = window_slopes(network, before[part], tokens[part], real, goes_on[part], state[:n], note)
-        slope = np.concatenate([slopes[name].ravel() for name in _shapes(1)])
+        slopes, state = window_slopes(network, before[part], tokens[part], real, goes_on[part], state[:n], note, room)
+        np.concatenate([slopes[name].ravel() for name in _shapes(1)], out=slope)
         slope *= 1.0 / max(1, int(real.sum()))
         np.clip(slope, -1.0, 1.0, out=slope)
         first *= 0.9
-        first += 0.1 * slope
+        first += np.multiply(slope, 0.1, out=moved)
         second *= 0.99
-        second += 0.01 * np.square(slope, out=slope)
-        spread = np.sqrt(second * (1 / (1 - 0.99**number)), out=slope)
+        np.square(slope, out=slope)
+        slope *= 0.01
+        second += slope
+        spread = np.multiply(second, 1 / (1 - 0.99**number), out=slope)
+        np.sqrt(spread, out=spread)
         spread += 1e-7
-        flat -= (rate / (1 - 0.9**number)) * first / spread
+        np.multiply(first, rate / (1 - 0.9**number), out=moved)
+        moved /= spread
+        flat -= moved
     return network
 
 
 def window_slopes(
-    network: Network, before: np.ndarray, tokens: np.ndarray, real: np.ndarray, goes_on: np.ndarray, state: np.ndarray, note=None
+    network: Network,
+    before: np.ndarray,
+    tokens: np.ndarray,
+    real: np.ndarray,
+    goes_on: np.ndarray,
+    state: np.ndarray,
+    note=None,
+    room: _Room | None = None,
 ) -> tuple[dict[str, np.ndarray], np.ndarray]:
-    """The gradient of a window's negated log-likelihood, by backpropagation to its first step, and the state after it."""
-    values, h = network.values, HIDDEN
-    embedded = values["embedding"][before]
-    gates = embedded @ values["input"] + values["input_bias"]
-    kept, olds, states = [], [], np.empty((len(tokens), *state.shape), dtype=gates.dtype)
-    for t in range(len(tokens)):
-        old = state * goes_on[t, :, None]
-        state, *rest = network.step(gates[t], old)
-        states[t] = state
-        olds.append(old)
-        kept.append(rest)
-    flat_real = real.ravel()
+    """The gradient of a window's negated log-likelihood, by backpropagation to its first step, and the state after it.
+
+    The gradient's arrays last until the next window in the same ``room``.
+    """
+    values, h, room = network.values, HIDDEN, room or _Room()
+    embedded, gates = _gates(network, before, room)
+    n, _, width = gates.shape
+    kind, lanes = gates.dtype, (n, h, width)
+    goes_on = goes_on.astype(kind)
+    steps = _Steps(network, gates, goes_on, room, keep=True)
+    state = steps.run(state.T)
+    chosen = np.flatnonzero(real)
     slopes: dict[str, np.ndarray] = {}
-    targets = tokens.ravel()[flat_real]
-    found = network.log_likelihood(states.reshape(-1, h)[flat_real], targets, slopes)
+    targets = tokens.ravel()[chosen]
+    found = network.log_likelihood(_rows_of(steps.states, chosen, room), targets, slopes, room)
     if note is not None:
         note(found, targets)
-    above = np.zeros((flat_real.size, h), dtype=gates.dtype)
-    above[flat_real] = slopes.pop("states")
-    above = above.reshape(states.shape)
-    update, reset, new, candidate = (np.stack(parts) for parts in zip(*kept))
-    olds = np.stack(olds)
+    by_rows = slopes.pop("states")
+    if len(chosen) < real.size:
+        spread = np.zeros((real.size, h), kind)
+        spread[chosen] = by_rows
+        by_rows = spread
+    above = room("above_lanes", lanes, kind)
+    np.copyto(above, by_rows.reshape(n, width, h).transpose(0, 2, 1))
+    update, reset = steps.both[:, :h], steps.both[:, h:]
     # What each gate's slope is to that of the state, for all steps at once.
-    by_update = (olds - new) * update * (1 - update)
-    by_new = (1 - update) * (1 - new**2)
-    by_reset = candidate * reset * (1 - reset)
-    d_gates = np.empty_like(gates)
-    d_recurrent = np.empty_like(gates)
-    back = np.ascontiguousarray(values["recurrent"].T)
-    later = np.zeros_like(state)
-    for t in range(len(tokens) - 1, -1, -1):
-        d = above[t]
+    by_new, by_reset, rest = (room(name, lanes, kind) for name in ("by_new", "by_reset", "rest"))
+    by_update = np.multiply(steps.gap, update, out=steps.gap)
+    by_update *= np.subtract(1, update, out=rest)
+    np.square(steps.new, out=by_new)
+    np.subtract(1, by_new, out=by_new)
+    by_new *= rest
+    np.multiply(steps.by_state[:, 2 * h :], reset, out=by_reset)
+    np.subtract(reset, 1, out=rest)
+    rest *= 0.5  # the state's part in new was scaled by -2
+    by_reset *= rest
+    # Slopes of new, update and reset, as of the gates; then of new as of the state's part in it.
+    each = room("each", (n, 4 * h, width), kind)
+    later, back = np.zeros_like(state), np.empty_like(state)
+    for t in range(n - 1, -1, -1):
+        d, own = above[t], each[t]
         d += later
-        own, to_state = d_gates[t], d_recurrent[t]
-        np.multiply(d, by_update[t], out=own[:, :h])
-        d_new = np.multiply(d, by_new[t], out=own[:, 2 * h :])
-        np.multiply(d_new, by_reset[t], out=own[:, h : 2 * h])
-        to_state[:, : 2 * h] = own[:, : 2 * h]
-        np.multiply(d_new, reset[t], out=to_state[:, 2 * h :])
-        later = to_state @ back
-        d *= update[t]
-        later += d
-        later *= goes_on[t, :, None]
-    flat = d_gates.reshape(-1, 3 * h)
-    slopes["recurrent"] = olds.reshape(-1, h).T @ d_recurrent.reshape(-1, 3 * h)
-    slopes["input"] = embedded.reshape(-1, EMBEDDING).T @ flat
-    slopes["input_bias"] = flat.sum(axis=0)
+        d_new = np.multiply(d, by_new[t], out=own[:h])
+        np.multiply(d, by_update[t], out=own[h : 2 * h])
+        np.multiply(d_new, by_reset[t], out=own[2 * h : 3 * h])
+        np.multiply(d_new, reset[t], out=own[3 * h :])
+        np.matmul(values["recurrent"], own[h:], out=back)
+        np.multiply(d, update[t], out=later)
+        later += back
+        later *= goes_on[t]
+    of_gates, of_states = each[:, : 3 * h], each[:, h:]
+    by_step = np.matmul(of_states, steps.olds.transpose(0, 2, 1), out=room("by_step", (n, 3 * h, h), kind))
+    slopes["recurrent"] = by_step.sum(axis=0).T
+    by_step = np.matmul(of_gates, embedded, out=room("by_step", (n, 3 * h, EMBEDDING + 1), kind))
+    of_input = np.roll(by_step.sum(axis=0).T, -h, axis=1)
+    slopes["input"], slopes["input_bias"] = of_input[:EMBEDDING], of_input[EMBEDDING]
+    of_embedded = room("of_embedded", (n, width, EMBEDDING), kind)
+    np.matmul(of_gates.transpose(0, 2, 1), np.roll(values["input"], h, axis=1).T, out=of_embedded)
+    of_embedded, flat = of_embedded.reshape(-1, EMBEDDING), before.ravel()
+    order = np.argsort(flat.astype(np.int16), kind="stable")
+    rows, begin = np.unique(flat[order], return_index=True)
+    ordered = of_embedded.take(order, axis=0, out=room("ordered_embedded", of_embedded.shape, kind), mode="clip")
     slopes["embedding"] = np.zeros_like(values["embedding"])
-    order = np.argsort(before.ravel(), kind="stable")
-    rows, begin = np.unique(before.ravel()[order], return_index=True)
-    slopes["embedding"][rows] = np.add.reduceat(flat[order] @ values["input"].T, begin, axis=0)
-    return slopes, state
+    slopes["embedding"][rows] = np.add.reduceat(ordered, begin, axis=0)
+    return slopes, state.T
 
 
 def words_of(text: bytes) -> list[bytes]:
@@ -346,16 +447,27 @@ class _Words:
         n = int(np.frombuffer(data, np.int64, 1)[0])
         return cls(np.frombuffer(data, np.uint32, n, 8), np.frombuffer(data, np.int64, n, 8 + 4 * n), data[8 + 12 * n :])
 
-    def each(self) -> list[bytes]:
-        return self.joined.split(b" ") if len(self.hashes) else []
+    def starts(self) -> np.ndarray:
+        """Where words start among the joined bytes, and would after the last; no word holds a space."""
+        return np.concatenate([[0], np.flatnonzero(np.frombuffer(self.joined, np.uint8) == 32) + 1, [len(self.joined) + 1]])
+
+    def numbers(self, vocabulary: dict[bytes, int]) -> np.ndarray:
+        """The network's number of each word; only words with the hash of one in the vocabulary are looked at."""
+        out, starts = np.full(len(self.hashes), _RARE, np.int32), self.starts()
+        wanted = np.fromiter(map(zlib.crc32, vocabulary), np.uint32, len(vocabulary))
+        begins, ends = (np.searchsorted(self.hashes, wanted, side).tolist() for side in ("left", "right"))
+        for (word, number), begin, end in zip(vocabulary.items(), begins, ends):
+            for k in range(begin, end):
+                if self.joined[starts[k] : starts[k + 1] - 1] == word:
+                    out[k] = number
+        return out
 
     def questions(self, buckets: int) -> Iterator[tuple[int, int, bytes]]:
         """Bucket, number of words, and the counts and words, for each bucket that has words."""
         bucket = self.hashes.astype(np.int64) * buckets >> 32
         numbers, begins = np.unique(bucket, return_index=True)
         ends = np.append(begins[1:], len(bucket))
-        # Where words start among the joined bytes; no word holds a space.
-        starts = np.concatenate([[0], np.flatnonzero(np.frombuffer(self.joined, np.uint8) == 32) + 1, [len(self.joined) + 1]])
+        starts = self.starts()
         for number, begin, end in zip(numbers.tolist(), begins.tolist(), ends.tolist()):
             words = self.joined[starts[begin] : starts[end] - 1]
             yield number, end - begin, self.counts[begin:end].tobytes() + words
@@ -365,13 +477,15 @@ def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Blocks of documents as places among the block's different words."""
     for batch in small_batches(batches, "__text", exchange.BLOCK_BYTES):
         texts = [t.as_buffer().to_pybytes() for t in batch.column(2)]
-        cut = [words_of(text) for text in texts]
-        found = list(set().union(*cut))
+        met: defaultdict[bytes, int] = defaultdict(count().__next__)  # words by when they are first met
+        tokens = [np.fromiter(map(met.__getitem__, words), np.int32, len(words)) for words in map(words_of, texts)]
+        found = list(met)
         hashes = np.fromiter(map(zlib.crc32, found), np.uint32, len(found))
-        order = np.argsort(hashes)
+        order = np.argsort(hashes, kind="stable")
         each = [found[k] for k in order.tolist()]
-        place = dict(zip(each, range(len(each))))
-        tokens = [np.fromiter(map(place.__getitem__, words), np.int32, len(words)) for words in cut]
+        place = np.empty(len(found), np.int32)
+        place[order] = np.arange(len(found), dtype=np.int32)
+        tokens = [place[own] for own in tokens]
         learned = [own for own, number in zip(tokens, batch.column(1).to_pylist()) if number >= 0]
         counts = np.bincount(np.concatenate([*learned, np.zeros(0, np.int32)]), minlength=len(each)).astype(np.int64)
         words = _Words(hashes[order], counts, b" ".join(each))
@@ -412,7 +526,7 @@ def _ask_counts(buckets: int):
 
 def _sum_counts(group: pa.Table) -> pa.Table:
     """The counts over all blocks, for each block in its order; under block -1 the bucket's totals and most frequent words."""
-    totals: Counter[bytes] = Counter()
+    totals: defaultdict[bytes, int] = defaultdict(int)
     asked = []
     for n, question in zip(group.column("n").to_pylist(), group.column("question").to_pylist()):
         own = question[8 * n :].split(b" ")
@@ -492,11 +606,6 @@ class Mixture:
         return cls(share, np.log(counts / counts.sum()))
 
 
-def _numbers(words: list[bytes], vocabulary: dict[bytes, int]) -> np.ndarray:
-    """The network's number of each word."""
-    return np.fromiter((vocabulary.get(word, _RARE) for word in words), dtype=np.int32, count=len(words))
-
-
 class _Gains:
     """How often the network is that much above the base, in steps of a twentieth."""
 
@@ -551,10 +660,11 @@ def _train(stored: DataFrame, corpus: Corpus, total_bytes: int, rounds: int) ->
             documents: list[np.ndarray] = []
             held = 0
             for row in _rows(batches):
-                batch, ids = exchange.unpacked(row["packed"]), _numbers(_Words.unpacked(row["words"]).each(), vocabulary.value)
-                own = batch.column(1).to_numpy() == number
-                documents += [np.append(ids[at], np.int32(_END)) for at, chosen in zip(_places(batch), own) if chosen]
-                held += sum(len(at) + 1 for at, chosen in zip(_places(batch), own) if chosen)
+                batch, ids = exchange.unpacked(row["packed"]), _Words.unpacked(row["words"]).numbers(vocabulary.value)
+                own = batch.filter(pa.array(batch.column(1).to_numpy() == number))
+                found = [np.append(ids[at], np.int32(_END)) for at in _places(own)]
+                documents += found
+                held += sum(map(len, found))
                 if held > _SHARD_TOKENS:
                     local, documents, weight, held = train_on(local, documents, note=gains.note), [], weight + held, 0
             local, weight = train_on(local, documents, note=gains.note), weight + held
@@ -627,17 +737,17 @@ def score(docs: DataFrame, learn: Column, key: str = "doc_id", text: str = "text
 def _counted(batch: pa.RecordBatch, words: _Words, answers: list[dict] | None, corpus: Corpus) -> Iterator[tuple]:
     """Key, tokens, known tokens, base score, what rare words add, and the network's tokens, of each document."""
     told = sorted(answers or (), key=lambda pair: pair["bucket"])
-    count = np.concatenate([*(np.frombuffer(pair["answer"], dtype="<i8") for pair in told), np.zeros(0, np.int64)])
-    ids = _numbers(words.each(), corpus.vocabulary)
-    logs = np.log10(count + 0.5)
+    counts = np.concatenate([*(np.frombuffer(pair["answer"], dtype="<i8") for pair in told), np.zeros(0, np.int64)])
+    ids = words.numbers(corpus.vocabulary)
+    logs = np.log10(counts + 0.5)
     rare = np.where(ids == _RARE, logs - np.log10(corpus.counts[_RARE]), 0.0)
-    known = (count > 0).astype(np.int64)
+    known = counts > 0
     end = np.log10(corpus.documents + 0.5)
     mass = np.log10(corpus.mass)
     for key, at in zip(batch.column(0).to_pylist(), _places(batch)):
         n = len(at) + 1
         base = float(logs[at].sum() + end - n * mass)
-        yield key, n, int(known[at].sum()) + (corpus.documents > 0), base, float(rare[at].sum()), np.append(ids[at], np.int32(_END))
+        yield key, n, int(np.count_nonzero(known[at])) + (corpus.documents > 0), base, float(rare[at].sum()), np.append(ids[at], np.int32(_END))
 
 
 def _scored(
